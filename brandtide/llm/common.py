@@ -114,3 +114,29 @@ def words(data: np.ndarray, offsets: np.ndarray, powers: Powers, lower: bool = F
         data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
     hashes = mix64(powers.runs(data.astype(np.uint64) + np.uint64(1), starts, ends)) if len(starts) else np.zeros(0, np.uint64)
     return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+class HashIndex:
+    """Positions of 64-bit keys, looked up many at a time (open addressing, linear probing)."""
+
+    def __init__(self, keys: np.ndarray):
+        size = 1 << max(4, int(2.5 * len(keys)).bit_length())
+        self.mask, self.keys, self.at = np.uint64(size - 1), np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        todo, step = np.arange(len(keys), dtype=np.int32), 0
+        while len(todo):
+            slot = ((keys[todo] + np.uint64(step)) & self.mask).astype(np.int64)
+            free = self.at[slot] < 0
+            _, first = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.at[slot[won]], self.keys[slot[won]] = todo[won], keys[todo[won]]
+            todo, step = np.delete(todo, won), step + 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 if absent."""
+        out, todo, step = np.full(len(keys), -1, np.int32), np.arange(len(keys)), 0
+        while len(todo):
+            slot = ((keys[todo] + np.uint64(step)) & self.mask).astype(np.int64)
+            at, hit = self.at[slot], self.keys[slot] == keys[todo]
+            out[todo[hit & (at >= 0)]] = at[hit & (at >= 0)]
+            todo, step = todo[(at >= 0) & ~hit], step + 1
+        return out

@@ -1,10 +1,13 @@
 """Queries over whole tables for the corpus operators, with DuckDB SQL where SQL can express them."""
 
-from brandtide.llm import mixing, packing, sharding
+from brandtide.llm import langid, mixing, mpeg, packing, sharding, toxicity
 
 QUERIES = {
+    "op1_media": mpeg.op1_media,
+    "op2_language": langid.op2_language,
     "op3_mixing": mixing.op3_mixing,
     "op6_sharding": sharding.op6_sharding,
     "op8_packing": packing.op8_packing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {"op3_mixing": mixing.ORACLE}
