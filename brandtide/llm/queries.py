@@ -1,12 +1,14 @@
 """Queries over whole tables for the corpus operators, with DuckDB SQL where SQL can express them."""
 
-from brandtide.llm import langid, mixing, mpeg, packing, sharding, toxicity
+from brandtide.llm import langid, mixing, mpeg, packing, records, sharding, toxicity, winnowing
 
 QUERIES = {
     "op1_media": mpeg.op1_media,
     "op2_language": langid.op2_language,
     "op3_mixing": mixing.op3_mixing,
+    "op5_fingerprints": winnowing.op5_fingerprints,
     "op6_sharding": sharding.op6_sharding,
+    "op7_records": records.op7_records,
     "op8_packing": packing.op8_packing,
     "op10_toxicity": toxicity.op10_toxicity,
 }
