@@ -1,6 +1,6 @@
 """Queries over whole tables for the corpus operators, with DuckDB SQL where SQL can express them."""
 
-from brandtide.llm import langid, mixing, mpeg, packing, records, sharding, toxicity, winnowing
+from brandtide.llm import langid, mixing, mpeg, near_dedup, packing, records, sharding, toxicity, winnowing
 
 QUERIES = {
     "op1_media": mpeg.op1_media,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_sharding": sharding.op6_sharding,
     "op7_records": records.op7_records,
     "op8_packing": packing.op8_packing,
+    "op9_near_duplicates": near_dedup.op9_near_duplicates,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {"op3_mixing": mixing.ORACLE}
