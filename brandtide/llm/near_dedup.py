@@ -231,6 +231,10 @@ def op9_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document of the smallest id of each group, with the columns of ``docs``; rows that repeat an id count once."""
-    kept = near_groups(docs).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi").select(docs.columns)
-    return out.dropDuplicates(["doc_id"]) if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty() else out
+    gone = staged(near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
+    out = with_small(docs, gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti", gone.count())
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return out
+    once = out.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return once.unionByName(out.where("doc_id is null"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandtide.llm.common import HashIndex, Powers, bounds, mix64, small_batches, table, text_slices
+from brandtide.llm.common import HashIndex, Powers, bounds, mix64, small_batches, table, text_slices, with_small
 from brandtide.runtime import staged
 
 ROWS_PER_CLASS, CURVE_ROWS, DISCOUNT = 8000, 16000, 4.0
@@ -246,5 +246,5 @@ def without_toxic(docs: DataFrame, labels: DataFrame, at: float = 0.5) -> DataFr
     """Rows of ``docs`` that score below ``at``; all labels serve (folds 0 to 3 the models, 4 the curve)."""
     number = fold(F.col("doc_id"))
     held = scored(docs, labels, number.isin(0, 1, 2, 3), number == 4)
-    rejected = held.where(F.col("score") >= at).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    rejected = staged(held.where(F.col("score") >= at).select(F.col("doc_id").alias("__rejected")).distinct(), "toxic-rejected")
+    return with_small(docs, rejected, F.col("doc_id").cast("long") == F.col("__rejected"), "left_anti", rejected.count())
