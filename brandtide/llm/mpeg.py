@@ -200,7 +200,7 @@ def write(payload: bytes) -> bytes:
     table_index = 7  # 96 kbit/s: room for the table
     total = SIZES[table_index] + sum(sizes)
     starts = SIZES[table_index] + np.concatenate([[0], np.cumsum(sizes)])
-    toc = bytes(int(starts[len(sizes) * p // 100] * 256 // total) for p in range(100))
+    toc = bytes(min(255, int(starts[len(sizes) * p // 100] * 256 // total)) for p in range(100))
     info = HEADS[table_index].tobytes() + b"Xing" + (7).to_bytes(4, "big") + len(sizes).to_bytes(4, "big") + total.to_bytes(4, "big") + toc
     private = OWNER + len(payload).to_bytes(8, "big")
     tag = b"PRIV" + len(private).to_bytes(4, "big") + b"\0\0" + private

@@ -17,7 +17,7 @@ Words are runs of ASCII letters (lower-cased) and bytes above 127. The models ar
 ``ROWS_PER_CLASS`` rows of each class and the curve on ``CURVE_ROWS`` (chosen by a hash of the id): the
 documented bounds of the fit, which also bound what is broadcast. Counts of the corpus cover every text.
 
-Defined results: a null or empty text has value 0 and the score of the curve there; without labels of both
+Defined results: a null or empty text has the value of words that neither class shows, and the score of the curve there; without labels of both
 classes every score is the share of toxic labels (0 without any); a null label is none; labels that repeat an id
 count once, by the largest.
 """
@@ -167,7 +167,8 @@ class Model:
             at = pairs.find(mix64(before * PAIR + hashes))
             value = np.where(at >= 0, take(self.pair_delta, at, 0.0), value)
             sums = np.concatenate([[0.0], np.cumsum(value)])
-            return (sums[first[1:]] - sums[first[:-1]]) / np.maximum(1, np.diff(first))
+            n = np.diff(first)
+            return np.where(n > 0, (sums[first[1:]] - sums[first[:-1]]) / np.maximum(1, n), self.unseen)
 
         return score
 
@@ -209,7 +210,7 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column, curve: Column) ->
     if not sizes.get((True, 1)) or not sizes.get((True, 0)) or not sizes.get((False, 1)) or not sizes.get((False, 0)):
         toxic = sum(n for (_, t), n in sizes.items() if t == 1)
         share = min(max(toxic / rows, 1e-6), 1 - 1e-6) if rows else 0.0
-        return None, 0.0, float(np.log(share / (1 - share))) if share else -100.0
+        return None, 0.0, float(np.log(share / (1 - share))) if share else float("-inf")
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 31))
     curve_all = sizes[False, 0] + sizes[False, 1]
     each = min(ROWS_PER_CLASS, sizes[True, 0], sizes[True, 1])
