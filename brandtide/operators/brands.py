@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from brandtide.functions.match import indel_ratio_udf, metaphone_udf
 from brandtide.functions.text import clean_title, cosine, ngrams, skeleton, title_case, title_tokens, tokens, vocabulary_tokens
 from brandtide.params import BrandParams
+from brandtide.runtime import staged
 
 P = BrandParams()
 #: Rows of a table of brands or rules that may be broadcast.
@@ -52,8 +53,8 @@ def ngram_stats(listings: DataFrame, p: BrandParams = P) -> DataFrame:
     """
     lead = F.slice(tokens(clean_title(F.col("ListingName"))), 1, p.leading_words)
     rows = listings.select("ord", "ItemId", F.coalesce("DailySalesValue", F.lit(0.0)).alias("gmv"), F.posexplode(ngrams(lead)).alias("pos", "ngram"))
-    rows = rows.join(vocabulary(listings, p).select("ngram"), "ngram", "left_semi")
-    # Rows are ranked by n-gram only to keep three samples; sums are aggregated before the shuffle.
+    rows = staged(rows.join(vocabulary(listings, p).select("ngram"), "ngram", "left_semi"), "ngram-rows")
+    # Three minima in turn rather than a ranking: each is aggregated before the shuffle, however frequent an n-gram is.
     sums = rows.groupBy("ngram").agg(F.count("*").alias("occurrences"), F.round(F.sum("gmv"), 2).alias("total_gmv"), *[F.min(F.struct("ord", "pos", "ItemId")).alias("s1")])
     second = rows.join(sums.select("ngram", "s1"), "ngram").where(F.struct("ord", "pos", "ItemId") > F.col("s1")).groupBy("ngram").agg(F.min(F.struct("ord", "pos", "ItemId")).alias("s2"))
     third = rows.join(second, "ngram").where(F.struct("ord", "pos", "ItemId") > F.col("s2")).groupBy("ngram").agg(F.min(F.struct("ord", "pos", "ItemId")).alias("s3"))
@@ -112,6 +113,33 @@ def accept_all(names: list[str]) -> set[str]:
     return set(names)
 
 
+def with_fallback(judges: list[Judge], is_missing: Callable[[Exception], bool]) -> Judge:
+    """The first judge whose model exists; any other failure rejects the batch."""
+
+    def ask(names: list[str]) -> set[str]:
+        for judge in judges:
+            try:
+                return judge(names)
+            except Exception as failure:  # noqa: BLE001 - whatever a remote model raises
+                if not is_missing(failure):
+                    return set()
+        return set()
+
+    return ask
+
+
+def model_names(text: str, aliases: dict[str, str]) -> list[str]:
+    """Names from a comma-separated list, aliases resolved, each once, in order."""
+    names = [x.strip() for x in text.split(",")]
+    return list(dict.fromkeys(aliases.get(x.lower(), x) for x in names if x))
+
+
+def without_keywords(rows: DataFrame, keywords: list[str], name: str = "ListingName") -> DataFrame:
+    """Rows whose title holds none of the keywords; a null title holds none."""
+    title = F.lower(F.coalesce(F.col(name), F.lit("")))
+    return rows.where(~reduce(lambda a, b: a | b, [F.contains(title, F.lit(k.lower())) for k in dict.fromkeys(keywords)], F.lit(False)))
+
+
 def validated(bucketed_: DataFrame, judge: Judge = accept_all, strict: bool = False, batch: int = 500) -> DataFrame:
     """``bucketed_`` (candidate, bucket) with the final status; the judge sees ambiguous names in batches, on executors."""
     short = "Rejected (Too Short / Generic)"
