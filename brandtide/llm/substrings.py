@@ -1,12 +1,13 @@
 """Substring dedup: words covered by a run of ``WINDOW`` words that also starts in a document of smaller id go.
 
 First pass: every partition counts its windows, once a document, in count-min sketches of ``ROWS`` rows whose counters
-stop at two; partitions send the positions of their ones and twos by slice, and slices are merged, so that the merged
-sketch never counts a window too low. The flags "twice or more", of a bounded size, are broadcast. Second pass: windows
+stop at two; partitions send the positions of their ones and twos by slice, as gaps of a byte or so, and slices are
+merged, so that the merged sketch never counts a window too low. The flags "twice or more", of a bounded size, are broadcast. Second pass: windows
 that the sketch takes for repeated, and no others, are grouped exactly (by 96 bits of two hashes). Partitions cut their
 documents into chunks; a chunk asks each hash bucket about its distinct windows once, with the smallest id that has
 them here, and gets one bit for each: whether a smaller id exists elsewhere. So a window that a third of all documents
-share costs an entry for each chunk, not for each document.
+share costs an entry for each chunk, not for each document. A third pass cuts the same chunks again, which is cheaper
+than to keep them, and applies the answers; a checksum of each chunk guards against an input that changed meanwhile.
 
 With more text than the largest sketch is made for, more windows pass for repeated and the second pass grows; results
 stay the same. The chance that any two of 10**13 different windows agree in 96 bits is below 0.001.
@@ -19,6 +20,7 @@ its words and is no reason to remove others'; equal texts keep their words under
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +33,10 @@ from brandtide.runtime import staged
 
 WINDOW, ROWS = 13, 2
 #: Counters of the sketch by window of the corpus, at most; their flags take an eighth of that in bytes.
-CELLS_EACH, CELLS = 8, 1 << 29
+CELLS_EACH, CELLS = 4, 1 << 29
 SLICE = 1 << 22
 #: Windows that a partition gathers before it sends them on.
-GATHER, CHUNK = 4_000_000, 1_000_000
+GATHER, CHUNK = 3_000_000, 1_000_000
 WORD_BASE, FIRST_BASE, SECOND_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 #: Bytes of removal ranges that may be broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -48,8 +50,24 @@ def unpack(blob: bytes, kind: str, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
 
 
+def gaps(at: np.ndarray, start: int) -> bytes:
+    """Ascending positions as differences in base 255, 255 meaning that the number goes on."""
+    steps = np.diff(at, prepend=start)
+    ends = np.cumsum(steps // 255 + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
+    out[ends - 1] = steps % 255
+    return pa.compress(out.tobytes(), codec="zstd", asbytes=True) + len(out).to_bytes(4, "little")
+
+
+def positions(blob: bytes, start: int) -> np.ndarray:
+    steps = np.frombuffer(pa.decompress(blob[:-4], int.from_bytes(blob[-4:], "little"), codec="zstd", asbytes=True), np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255] + start
+
+
 def cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
-    return mix64(hashes + np.uint64((row + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) & np.uint64(width - 1)
+    """Counters of the hashes in a row of ``width`` (below 2**32)."""
+    own = mix64(hashes + np.uint64((row + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return (own >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)
 
 
 class Windows:
@@ -77,15 +95,17 @@ def sketch(rows: int, width: int, window: int):
 
         def send():
             hashes = np.concatenate(held)
+            held.clear()
             for row in range(rows):
-                at, count = np.unique(cells(hashes, row, width), return_counts=True)
-                once, twice = at.astype(np.int64), at[count > 1].astype(np.int64)
-                cuts = np.arange(0, width + 1, min(SLICE, width))
+                at = np.sort(cells(hashes, row, width)).astype(np.int64)
+                new = np.concatenate([[True], at[1:] != at[:-1]])
+                once, twice = at[new], np.unique(at[~new])
+                cuts = np.append(np.arange(0, width, SLICE), width)
                 a, b = np.searchsorted(once, cuts), np.searchsorted(twice, cuts)
-                parts = [(i, *(np.diff(x, prepend=cuts[i]).astype(np.uint32) for x in (once[a[i] : a[i + 1]], twice[b[i] : b[i + 1]]))) for i in range(len(cuts) - 1) if a[i + 1] > a[i]]
+                used = [i for i in range(len(cuts) - 1) if a[i + 1] > a[i]]
                 yield pa.record_batch(
-                    [pa.array([row] * len(parts), pa.int32()), pa.array([i for i, _, _ in parts], pa.int32()), *[pa.array([len(p[k]) for p in parts], pa.int32()) for k in (1, 2)], *[pa.array([pack(p[k]) for p in parts], pa.binary()) for k in (1, 2)]],
-                    names=["row", "slice", "n1", "n2", "once", "twice"],
+                    [pa.array([row] * len(used), pa.int32()), pa.array(used, pa.int32()), pa.array([gaps(once[a[i] : a[i + 1]], cuts[i]) for i in used], pa.binary()), pa.array([gaps(twice[b[i] : b[i + 1]], cuts[i]) for i in used], pa.binary())],
+                    names=["row", "slice", "once", "twice"],
                 )
 
         for b in batches:
@@ -98,7 +118,7 @@ def sketch(rows: int, width: int, window: int):
                 size += len(held[-1])
                 if size > GATHER:
                     yield from send()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from send()
 
@@ -111,52 +131,59 @@ def merge(width: int):
     def run(batches):
         once, twice = {}, {}
         for b in batches:
-            for row, part, n1, n2, x, y in zip(*(b[c].to_pylist() for c in ("row", "slice", "n1", "n2", "once", "twice"))):
+            for row, part, x, y in zip(*(b[c].to_pylist() for c in ("row", "slice", "once", "twice"))):
                 key = (row, part)
                 if key not in once:
                     once[key], twice[key] = np.zeros(min(SLICE, width), bool), np.zeros(min(SLICE, width), bool)
-                at = np.cumsum(unpack(x, "<u4", n1), dtype=np.int64)
+                at = positions(x, 0)
                 twice[key][at[once[key][at]]] = True
                 once[key][at] = True
-                if n2:
-                    twice[key][np.cumsum(unpack(y, "<u4", n2), dtype=np.int64)] = True
+                twice[key][positions(y, 0)] = True
         for (row, part), flags in twice.items():
             yield pa.record_batch([pa.array([row], pa.int32()), pa.array([part], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["row", "slice", "flags"])
 
     return run
 
 
-def asked(width: int, bits: int, window: int, flags):
-    """Chunks' questions to buckets (kind 0) and what they keep for the answers (kind 1)."""
+def asked(width: int, bits: int, window: int, flags, kind: int):
+    """Chunks' questions to buckets (kind 0), or what their answers are applied to (kind 1)."""
 
     def run(batches):
         windows, partition, number = Windows(window), TaskContext.get().partitionId(), 0
         bit = lambda table_, at: table_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
         docs, found, size = [], [], 0
+        low = 64 - bits  # bits of a first hash that its bucket doesn't tell
+        n_bytes = -(-low // 8)
 
         def send():
             row, inside, k1, k2 = (np.concatenate(x) for x in zip(*found))
+            found.clear()
             ids = np.array([d for d, _ in docs], np.int64)
             order = np.lexsort((k2, k1))
             new = np.concatenate([[True], (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])])
-            starts, which = np.flatnonzero(new), np.empty(len(order), np.uint32)
-            which[order] = np.cumsum(new) - 1
+            starts = np.flatnonzero(new)
             least = np.minimum.reduceat(ids[row[order]], starts)
             u1, u2 = k1[order][starts], k2[order][starts]
-            cuts = np.append(np.searchsorted(u1 >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64)) if bits else [0], len(u1))
-            at = partition << 24 | number
-            used = [i for i in range(1 << bits) if cuts[i + 1] > cuts[i]]
-            blob = lambda i: b"".join((u1[cuts[i] : cuts[i + 1]].tobytes(), u2[cuts[i] : cuts[i + 1]].tobytes()))
+            at, check = partition << 24 | number, zlib.crc32(u2.tobytes(), zlib.crc32(least.tobytes()))
+            if kind == 0:
+                cuts = np.append(np.searchsorted(u1 >> np.uint64(low), np.arange(1 << bits, dtype=np.uint64)), len(u1))
+                used = [i for i in range(1 << bits) if cuts[i + 1] > cuts[i]]
+                short = np.ascontiguousarray(u1.view(np.uint8).reshape(-1, 8)[:, :n_bytes])
+                part = lambda x, i: x[cuts[i] : cuts[i + 1]].tobytes()
+                n = len(used)
+                yield pa.record_batch(
+                    [pa.array([0] * n, pa.int32()), pa.array([at] * n, pa.int64()), pa.array([check] * n, pa.int64()), pa.array(used, pa.int32()), pa.array([int(cuts[i + 1] - cuts[i]) for i in used], pa.int64()), pa.array([part(short, i) + part(u2, i) for i in used], pa.binary()), pa.array([pack(least[cuts[i] : cuts[i + 1]]) for i in used], pa.binary()), *[pa.nulls(n, pa.binary())] * 2],
+                    names=ASKED,
+                )
+                return
+            which = np.empty(len(order), np.uint32)
+            which[order] = np.cumsum(new) - 1
             keep, index = np.unique(row, return_inverse=True)
             mine = np.packbits(ids[row] > least[which])  # a smaller id is in this chunk
-            n = len(used)
-            yield pa.record_batch(
-                [pa.array([0] * n, pa.int32()), pa.array([at] * n, pa.int64()), pa.array(used, pa.int32()), pa.array([int(cuts[i + 1] - cuts[i]) for i in used], pa.int64()), pa.array([blob(i) for i in used], pa.binary()), pa.array([pack(least[cuts[i] : cuts[i + 1]]) for i in used], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
-                names=ASKED,
-            )
             fp = np.array([docs[i][1] for i in keep], np.int64)
+            steps = np.concatenate([np.diff(index, prepend=0), np.diff(inside, prepend=0)]).astype(np.int32)
             yield pa.record_batch(
-                [pa.array([1], pa.int32()), pa.array([at]), pa.array([-1], pa.int32()), pa.array([len(row)]), pa.array([np.concatenate([ids[keep], fp]).tobytes()], pa.binary()), pa.array([pack(np.concatenate([index.astype(np.uint32), inside.astype(np.uint32)]))], pa.binary()), pa.array([pack(which)], pa.binary()), pa.array([mine.tobytes()], pa.binary())],
+                [pa.array([1], pa.int32()), pa.array([at]), pa.array([check], pa.int64()), pa.array([-1], pa.int32()), pa.array([len(row)]), pa.array([np.concatenate([ids[keep], fp]).tobytes()], pa.binary()), pa.array([pack(steps)], pa.binary()), pa.array([pack(which)], pa.binary()), pa.array([mine.tobytes()], pa.binary())],
                 names=ASKED,
             )
 
@@ -173,48 +200,53 @@ def asked(width: int, bits: int, window: int, flags):
                 for r, table_ in enumerate(flags.value):
                     likely &= bit(table_, cells(k1, r, width)).astype(bool)
                 at = np.flatnonzero(likely)
-                k2 = windows.again(hashes, first[row[at]] + inside[at])
                 if len(at):
-                    found.append((row[at] + base, inside[at], k1[at], k2))
+                    found.append((row[at] + base, inside[at], k1[at], windows.again(hashes, first[row[at]] + inside[at])))
                     size += len(at)
                 if size > CHUNK:
                     yield from send()
-                    docs, found, size, number = [], [], 0, number + 1
+                    docs, size, number = [], 0, number + 1
         if found:
             yield from send()
 
     return run
 
 
-ASKED = ["kind", "chunk", "bucket", "n", "keys", "ids", "which", "mine"]
-ASKED_TYPE = "kind int, chunk long, bucket int, n long, keys binary, ids binary, which binary, mine binary"
+ASKED = ["kind", "chunk", "check", "bucket", "n", "keys", "ids", "which", "mine"]
+ASKED_TYPE = "kind int, chunk long, check long, bucket int, n long, keys binary, ids binary, which binary, mine binary"
+
+
+def answerer(bits: int):
+    n_bytes = -(-(64 - bits) // 8)
 
+    def answered(t: pa.Table) -> pa.Table:
+        """One bit for each entry of each chunk's question: a smaller id has the window elsewhere."""
+        sizes = t["n"].to_pylist()
+        k1 = np.zeros((sum(sizes), 8), np.uint8)  # what all entries of a bucket share is left out
+        k1[:, :n_bytes] = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8, n_bytes * n) for x, n in zip(t["keys"], sizes)]).reshape(-1, n_bytes)
+        k1 = k1.view("<u8")[:, 0]
+        k2 = np.concatenate([np.frombuffer(x.as_buffer(), "<u4", n, n_bytes * n) for x, n in zip(t["keys"], sizes)])
+        ids = np.concatenate([unpack(x, "<i8", n) for x, n in zip(t["ids"].to_pylist(), sizes)])
+        order = np.lexsort((k2, k1))
+        new = np.concatenate([[True], (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])])
+        least = np.empty(len(ids), np.int64)
+        least[order] = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        bits_ = np.split(least < ids, np.cumsum(sizes)[:-1])
+        return pa.table([pa.array([2] * len(bits_), pa.int32()), t["chunk"], t["check"], t["bucket"], t["n"], pa.array([np.packbits(x).tobytes() for x in bits_], pa.binary()), *[pa.nulls(len(bits_), pa.binary())] * 3], names=ASKED)
 
-def answered(t: pa.Table) -> pa.Table:
-    """One bit for each entry of each chunk's question: a smaller id has the window elsewhere."""
-    t = t.sort_by("chunk")
-    sizes = t["n"].to_pylist()
-    k1 = np.concatenate([np.frombuffer(x.as_buffer(), "<u8", n) for x, n in zip(t["keys"], sizes)])
-    k2 = np.concatenate([np.frombuffer(x.as_buffer(), "<u4", n, 8 * n) for x, n in zip(t["keys"], sizes)])
-    ids = np.concatenate([unpack(x, "<i8", n) for x, n in zip(t["ids"].to_pylist(), sizes)])
-    order = np.lexsort((k2, k1))
-    new = np.concatenate([[True], (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])])
-    least = np.empty(len(ids), np.int64)
-    least[order] = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-    bits = np.split(least < ids, np.cumsum(sizes)[:-1])
-    return pa.table([pa.array([2] * len(bits), pa.int32()), t["chunk"], t["bucket"], t["n"], pa.array([np.packbits(x).tobytes() for x in bits], pa.binary()), *[pa.nulls(len(bits), pa.binary())] * 3], names=ASKED)
+    return answered
 
 
 def resolver(window: int):
-    def resolve(t: pa.Table) -> pa.Table:
+    def resolve(own: pa.Table, rest: pa.Table) -> pa.Table:
         """Ranges of words to remove, by document of a chunk."""
-        t = t.sort_by("bucket")
-        own, rest = t.slice(0, 1), t.slice(1)
-        n = own["n"][0].as_py()
+        if len(own) != 1 or {*own["check"].to_pylist()} != {*rest["check"].to_pylist()}:
+            raise ValueError("the documents changed between two passes")
+        rest, n = rest.sort_by("bucket"), own["n"][0].as_py()
         elsewhere = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=k).astype(bool) for x, k in zip(rest["keys"], rest["n"].to_pylist())])
         ids = np.frombuffer(own["keys"][0].as_buffer(), "<i8")
         ids, fp = ids[: len(ids) // 2], ids[len(ids) // 2 :]
-        index, inside = np.split(unpack(own["ids"][0].as_py(), "<u4", 2 * n).astype(np.int64), 2)
+        index, inside = (np.cumsum(x, dtype=np.int64) for x in np.split(unpack(own["ids"][0].as_py(), "<i4", 2 * n), 2))
         mine = np.unpackbits(np.frombuffer(own["mine"][0].as_buffer(), np.uint8), count=n).astype(bool)
         gone = np.flatnonzero(mine | elsewhere[unpack(own["which"][0].as_py(), "<u4", n)])
         index, inside = index[gone], inside[gone]  # ascending in both
@@ -234,18 +266,19 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     windows = max(1, n_bytes // 6)
-    width = 1 << min((CELLS // ROWS).bit_length() - 1, max(12, (CELLS_EACH * windows // ROWS).bit_length()))
-    parts = docs.select("doc_id", "text").mapInArrow(sketch(ROWS, width, window), "row int, slice int, n1 int, n2 int, once binary, twice binary")
+    width = -(-max(1 << 12, min(CELLS, CELLS_EACH * windows) // ROWS) // 64) * 64
+    parts = docs.select("doc_id", "text").mapInArrow(sketch(ROWS, width, window), "row int, slice int, once binary, twice binary")
     table_ = np.zeros((ROWS, width // 8), np.uint8)
     for r in parts.repartition("row", "slice").mapInArrow(merge(width), "row int, slice int, flags binary").toLocalIterator():  # CELLS / 8 bytes at most
         start = r["slice"] * SLICE // 8
-        table_[r["row"], start : start + len(r["flags"])] = np.frombuffer(r["flags"], np.uint8)
+        own = np.frombuffer(r["flags"], np.uint8)[: width // 8 - start]
+        table_[r["row"], start : start + len(own)] = own
     flags = spark.sparkContext.broadcast(table_)
-    bits = max(4, min(16, (windows >> 19).bit_length()))
-    questions = staged(docs.select("doc_id", "text", "fp").mapInArrow(asked(width, bits, window, flags), ASKED_TYPE), "window-questions", ("kind",))
-    answers = questions.where("kind = 0").groupBy("bucket").applyInArrow(answered, ASKED_TYPE)
-    both = answers.unionByName(questions.where("kind = 1").select(*ASKED))
-    ranges = staged(both.groupBy("chunk").applyInArrow(resolver(window), "doc_id long, fp long, starts array<int>, ends array<int>").dropDuplicates(["doc_id", "fp"]), "window-ranges")
+    bits = max(4, min(16, (windows >> 21).bit_length()))
+    chunks = lambda kind: docs.select("doc_id", "text", "fp").mapInArrow(asked(width, bits, window, flags, kind), ASKED_TYPE)
+    answers = staged(chunks(0).groupBy("bucket").applyInArrow(answerer(bits), ASKED_TYPE), "window-answers")
+    # Not a union, in which partitions have other numbers.
+    ranges = staged(chunks(1).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(resolver(window), "doc_id long, fp long, starts array<int>, ends array<int>").dropDuplicates(["doc_id", "fp"]), "window-ranges")
     flags.unpersist()
     return ranges
 
