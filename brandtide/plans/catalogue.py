@@ -128,6 +128,10 @@ def centroid_bucket(spark, sf_dir):
     return out.select("vec_id", "delta", "bucket")
 
 
+def delta_stats(spark, sf_dir):
+    return centroid_bucket(spark, sf_dir).groupBy("bucket").agg(F.count("*").alias("n"), F.min("delta").alias("least"), F.max("delta").alias("most"), F.round(F.avg("delta"), 4).alias("mean"))
+
+
 def _page_rows(spark, sf_dir):
     p = _read(spark, sf_dir, "pages")
     label = F.concat(F.lit("<p>Brand: "), F.element_at(F.split("url", "[/.]"), 3), F.lit('</p><script>{"brand":"Acme '), (F.col("page_id") % 7).cast("string"), F.lit('"}</script>'))
@@ -192,6 +196,7 @@ QUERIES = {
     "rule_first_match": rule_first_match,
     "chunk_assignment": chunk_assignment,
     "centroid_bucket": centroid_bucket,
+    "delta_stats": delta_stats,
     "page_score": page_score,
     "page_pick": page_pick,
     "status_counts": status_counts,
@@ -279,6 +284,9 @@ VOCAB = f"""v AS (SELECT ngram, count(*) AS df FROM (
 ) GROUP BY ngram HAVING count(*) >= 2 AND count(*) <= 0.05 * (SELECT count(*) FROM documents))"""
 _period = lambda letter: f"{FLAGS} SELECT ItemId, Channel, ScrapDate FROM period WHERE {letter}"
 
+BUCKETS = """WITH x AS (SELECT vec_id, label, unnest(range(1, 65)) AS pos, unnest(embedding) AS x FROM embeddings), c AS (SELECT pos, avg(CAST(x AS DOUBLE)) FILTER (WHERE label < 3) AS yes, avg(CAST(x AS DOUBLE)) FILTER (WHERE label >= 3) AS no FROM x GROUP BY pos
+  ), d AS (SELECT vec_id, round(sum(CAST(x AS DOUBLE) * yes) / (sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) * sqrt(sum(yes * yes))) - sum(CAST(x AS DOUBLE) * no) / (sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) * sqrt(sum(no * no))), 6) AS delta FROM x JOIN c USING (pos) GROUP BY vec_id)
+  SELECT vec_id, delta, CASE WHEN delta >= 0.10 THEN 'accept' WHEN delta <= -0.08 THEN 'reject' ELSE 'ambiguous' END AS bucket FROM d"""
 PAGES = r"""WITH p AS (
   SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'https://shopee.example/' || CAST(page_id AS VARCHAR) WHEN 1 THEN '' ELSE url || '?tiktok' END AS url,
          CASE WHEN page_id % 4 = 0 THEN NULL ELSE regexp_split_to_array(url, '[/.]')[3] END AS label, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'Acme ' || CAST(page_id % 7 AS VARCHAR) END AS js,
@@ -342,9 +350,8 @@ ORACLE = {
     "rule_first_match": """WITH r AS (SELECT k, 'Brand ' || k AS brand, row_number() OVER (ORDER BY k) AS rule_rank FROM (SELECT DISTINCT string_split(p_name, ' ')[1] AS k FROM part))
       SELECT p_partkey, p_name AS ListingName, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE coalesce((SELECT arg_min(brand, rule_rank) FROM r WHERE contains(lower(p_name), lower(k))), 'No Brand') END AS Brand FROM part""",
     "chunk_assignment": "SELECT p_partkey, p_brand, CAST(ceil(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) / 20) AS INTEGER) AS chunk FROM part",
-    "centroid_bucket": """WITH x AS (SELECT vec_id, label, unnest(range(1, 65)) AS pos, unnest(embedding) AS x FROM embeddings), c AS (SELECT pos, avg(CAST(x AS DOUBLE)) FILTER (WHERE label < 3) AS yes, avg(CAST(x AS DOUBLE)) FILTER (WHERE label >= 3) AS no FROM x GROUP BY pos
-      ), d AS (SELECT vec_id, round(sum(CAST(x AS DOUBLE) * yes) / (sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) * sqrt(sum(yes * yes))) - sum(CAST(x AS DOUBLE) * no) / (sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) * sqrt(sum(no * no))), 6) AS delta FROM x JOIN c USING (pos) GROUP BY vec_id)
-      SELECT vec_id, delta, CASE WHEN delta >= 0.10 THEN 'accept' WHEN delta <= -0.08 THEN 'reject' ELSE 'ambiguous' END AS bucket FROM d""",
+    "centroid_bucket": BUCKETS,
+    "delta_stats": f"SELECT bucket, count(*) AS n, min(delta) AS least, max(delta) AS most, round(avg(delta), 4) AS mean FROM ({BUCKETS}) GROUP BY bucket",
     "page_score": PAGES + "SELECT page_id, value, source, confidence FROM s WHERE value <> ''",
     "page_pick": PICK + "SELECT page_id, CASE WHEN ResultStatus = 'success' THEN value ELSE '' END AS BrandName, CASE WHEN ResultStatus IN ('success', 'low_confidence') THEN confidence ELSE 0 END AS BrandConfidence, CASE WHEN ResultStatus IN ('success', 'low_confidence') THEN source ELSE '' END AS BrandSource, ResultStatus, CASE WHEN url = '' THEN 'empty url' WHEN ResultStatus = 'invalid_url' THEN 'unsupported domain' WHEN ResultStatus = 'not_found' THEN 'no candidate' WHEN ResultStatus = 'low_confidence' THEN value ELSE '' END AS ResultNote FROM r",
     "status_counts": PICK + "SELECT ResultStatus, count(*) AS n FROM r GROUP BY ResultStatus",

@@ -15,10 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that the driver and all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not base:
-        base = f"file://{tempfile.gettempdir()}/brandtide-shared"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return (base or f"file://{tempfile.gettempdir()}/brandtide-shared").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
