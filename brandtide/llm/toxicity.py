@@ -5,9 +5,9 @@ Two word-bigram models, of toxic and of ordinary rows, share the counts that the
     P_c(w | v) = max(c(v, w) - D, 0) / c(v) + left_c(v) P_c(w)
     P_c(w)     = max(N(. w) - D, 0) / N(..) + left_c P_shared(w)
 
-with N the number of different words before w within the class, and P_shared from how often w stands in all
-texts of the corpus, labelled or not. Counts c are of rows, equal texts once, so that what a text repeats does
-not weigh. The discount D is four plus what the other class explains: 1.5 times its count o, scaled to the same
+with N the number of different words before w within the class, c that of different words before the pair, and
+P_shared from how often w stands in all texts of the corpus, labelled or not. So neither what a text repeats nor a
+passage that some texts share counts more than once. The discount D is four plus what the other class explains: 1.5 times its count o, scaled to the same
 total, and twice the root of that. So expressions that are rare, or that both
 classes have alike (a language, a subject), go to the shared counts whole, and a class keeps of its own what the
 other does not show. Both models learn from as many rows. A text's value is the mean over its words of the difference
@@ -65,7 +65,7 @@ def _pairs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, mix64(hashes[at - 1] * PAIR + hashes[at])
 
 
-def count_pairs(batches):
+def count_triples(batches):
     powers = Powers(WORD_BASE)
     for b in batches:
         for cls, data, offs in text_slices(b["toxic"], b["text"], 1 << 22):
@@ -75,17 +75,17 @@ def count_pairs(batches):
             at, pair = _pairs(hashes, first)
             toxic = np.repeat(np.array(cls, np.int64), np.diff(first))
             starts = np.flatnonzero(np.isin(np.arange(len(hashes)), at, invert=True))  # a row's first word follows word 0
+            prior = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
+            prior[starts] = 0  # what stands before each word
             before = np.concatenate([hashes[at - 1], np.zeros(len(starts), np.uint64)])
+            context = np.concatenate([prior[at - 1], np.zeros(len(starts), np.uint64)])
             word = np.concatenate([hashes[at], hashes[starts]])
-            pair = np.concatenate([pair, mix64(hashes[starts])])
+            pair = mix64(np.concatenate([pair, mix64(hashes[starts])]) + context * PAIR)
             label = np.concatenate([toxic[at], toxic[starts]])
-            row = np.repeat(np.arange(len(cls)), np.diff(first))
-            once = np.unique(mix64(pair + np.concatenate([row[at], row[starts]]).astype(np.uint64) * PAIR), return_index=True)[1]
-            before, word, pair, label = before[once], word[once], pair[once], label[once]
             _, where, which = np.unique(pair, return_index=True, return_inverse=True)
             t = np.bincount(which, weights=label, minlength=len(where)).astype(np.int64)
             n = np.bincount(which, minlength=len(where)) - t
-            yield pa.record_batch([pa.array(before[where].view(np.int64)), pa.array(word[where].view(np.int64)), pa.array(t), pa.array(n)], names=["v", "w", "t", "n"])
+            yield pa.record_batch([*[pa.array(x[where].view(np.int64)) for x in (context, before, word)], pa.array(t > 0), pa.array(n > 0)], names=["u", "v", "w", "t", "n"])
 
 
 def _columns(df: DataFrame) -> list[np.ndarray]:
@@ -123,7 +123,7 @@ class Model:
     """Differences of log-probabilities (toxic less ordinary) by pair, context and word."""
 
     def __init__(self, docs: DataFrame, labelled: DataFrame):
-        pairs = staged(labelled.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(count_pairs, "v long, w long, t long, n long").groupBy("v", "w").agg(F.sum("t").alias("t"), F.sum("n").alias("n")), "toxic-pairs")
+        pairs = staged(labelled.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(count_triples, "u long, v long, w long, t boolean, n boolean").groupBy("u", "v", "w").agg(F.max("t").alias("t"), F.max("n").alias("n")).groupBy("v", "w").agg(F.count_if("t").alias("t"), F.count_if("n").alias("n")), "toxic-pairs")
         both, kinds = F.col("t") + F.col("n"), lambda c: F.count(F.when(F.col(c) > 0, 1))
         size_t, size_n = (float(x or 1) for x in pairs.agg(F.sum("t"), F.sum("n")).first())
         words = staged(pairs.groupBy("w").agg(kinds("t").alias("nt"), kinds("n").alias("nn"), F.sum(both).alias("all")), "toxic-words")
