@@ -49,9 +49,11 @@ class Pieces:
     """Ids of texts, each distinct piece encoded once."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.powers = Tokenizer.from_file(path), Powers(0x6C8E9CF570932BD5)
+        self.split = Tokenizer.from_file(path)  # for texts that are split already
+        self.split.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.kinds = np.array([kind_of(c) for c in range(KNOWN)], np.uint8)
         self.clear()
 
@@ -59,7 +61,7 @@ class Pieces:
         self.known, self.flat, self.used = {}, np.zeros(1 << 16, np.uint32), 0
 
     def add(self, keys: list[int], pieces: list[str]) -> None:
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        found = self.split.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, np.uint32)
         lengths = np.bincount(np.array(found.word_ids), minlength=len(pieces))
         while self.used + len(ids) > len(self.flat):
@@ -292,7 +294,8 @@ def reader(base: str):
 
 def read_records(manifest: DataFrame, base: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every record, checksums verified."""
-    return manifest.repartition("range").mapInArrow(reader(base), READ)
+    files = max(1, manifest.count())
+    return manifest.repartition(files, "range").mapInArrow(reader(base), READ)
 
 
 def op7_records(spark, sf_dir: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
