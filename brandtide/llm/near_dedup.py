@@ -7,8 +7,9 @@ a second, so that at the threshold a pair has about one common child on average;
 value there. Nodes of at most ``LEAF`` documents compare all pairs by their minwise values; larger ones branch on,
 down to ``DEPTH``, where what is still large (copies of one another, or nearly) is compared with one document that
 each tree's node draws at random. Pairs that may reach the threshold are confirmed on full sets: first the most
-similar partner of each document, then every pair that those links leave in different components, so no pair between
-components goes untested and no group is expanded into all its pairs.
+similar partner of each document, then every pair that those links leave in different components. In a node that
+stayed large, the documents outside its main component are then compared with all the others, in blocks. So no pair
+between components goes untested, and no group is expanded into all its pairs.
 
 The chance that a pair at the threshold shares no first-level node is 0.1875 ** TREES (2e-9); estimates that lead
 astray by more than 0.25 (over five standard deviations) are the only other loss.
@@ -28,7 +29,7 @@ from brandtide.llm.common import Powers, mix64, small_batches, table, text_slice
 from brandtide.llm.graph import components
 from brandtide.runtime import staged
 
-SHINGLE, COORDINATES, TREES, LEAF, DEPTH = 5, 96, 12, 48, 4
+SHINGLE, COORDINATES, TREES, LEAF, DEPTH, BLOCK = 5, 96, 12, 48, 4, 1024
 WORD_BASE, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
 #: A pair may reach the threshold if this share of its minwise values agree.
 MAY = 0.5
@@ -156,10 +157,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return staged(joined.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"), "near-links")
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Staged pairs (a < b, alike) that may reach the threshold. ``reps`` (rep, n, sig) is a staged table."""
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Staged pairs (a < b, alike) that may reach the threshold, and the members (key, rep) of nodes that stayed large.
+
+    ``reps`` (rep, n, sig) is a staged table.
+    """
     roots = F.explode(F.array(*[F.lit(int(x)) for x in mix64(np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)]))
-    rows, leaves, stars = reps.select(roots.alias("key"), "rep", "sig").mapInArrow(branch, "key long, rep long"), [], None
+    rows, leaves, stars, more = reps.select(roots.alias("key"), "rep", "sig").mapInArrow(branch, "key long, rep long"), [], None, None
     low = reps.select("rep", "n", F.col("sig"))
     for level in range(1, DEPTH + 1):
         rows = staged(rows, "near-nodes")
@@ -172,6 +176,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         if level < DEPTH:
             rows = more.join(reps.select("rep", "sig"), "rep").select("key", "rep", "sig").mapInArrow(branch, "key long, rep long")
         else:
+            more = staged(more, "near-large")
             leader = more.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("h"), F.col("rep").alias("leader"))).alias("x")).select("key", "x.leader")
             stars = more.join(leader, "key").where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     together = leaves[0]
@@ -182,7 +187,45 @@ def candidates(reps: DataFrame) -> DataFrame:
         one = low.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("x"))
         two = low.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("y"))
         found = found.unionByName(stars.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(star_pairs, "a long, b long, alike int")).distinct()
-    return staged(found, "near-pairs")
+    return staged(found, "near-pairs"), more if stars is not None else None
+
+
+def outsiders(large: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a < b, alike) of members outside the main component of a large node with all its members, by blocks."""
+    members = large.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = members.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"))
+    members = staged(members.join(sizes, "key").select("key", "rep", "blocks", (F.col("component") != F.col("main")).alias("out")), "near-members")
+    keys = members.where("out").select("key").distinct()
+    asked = members.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", F.lit(0).alias("kind"))
+    held = members.join(keys, "key", "left_semi").select("key", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int").alias("block"), "rep", F.lit(1).alias("kind"))
+    low = reps.select("rep", "n", _low_bytes(F.col("sig")).alias("low"))
+    return held.unionByName(asked).join(low, "rep").select("key", "block", "kind", "rep", "n", "low").repartition("key", "block").sortWithinPartitions("key", "block", F.desc("kind"), "rep").mapInArrow(block_pairs, "a long, b long, alike int").distinct()
+
+
+def block_pairs(batches):
+    """Each asked row (kind 0) with every member (kind 1) of its key and block, which come first."""
+    at, reps, n, low = None, [], [], []
+    for b in batches:
+        keys = np.stack([b[c].to_numpy().astype(np.int64) for c in ("key", "block")], axis=1)
+        kind, own, sizes = (b[c].to_numpy() for c in ("kind", "rep", "n"))
+        rows = np.frombuffer(b"".join(b["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1) | (kind[1:] != kind[:-1])])) if len(own) else []
+        for x, y in zip(cuts, [*cuts[1:], len(own)]):
+            if at != (key := tuple(keys[x])):
+                at, reps, n, low = key, [], [], []
+            if kind[x] == 1:
+                reps.append(own[x:y])
+                n.append(sizes[x:y])
+                low.append(rows[x:y])
+                continue
+            r, m, t, found = np.concatenate(reps), np.concatenate(n), np.concatenate(low), []
+            for i in range(x, y):
+                fits = np.flatnonzero((100 * np.minimum(m, sizes[i]) >= 75 * np.maximum(m, sizes[i])) & (r != own[i]))
+                alike = (t[fits] == rows[i]).sum(axis=1)
+                ok = alike >= MAY * COORDINATES
+                found.append((np.minimum(r[fits[ok]], own[i]), np.maximum(r[fits[ok]], own[i]), alike[ok]))
+            a, c, d = (np.concatenate(z) for z in zip(*found))
+            yield pa.record_batch([pa.array(a), pa.array(c), pa.array(d.astype(np.int32))], names=["a", "b", "alike"])
 
 
 def _low_bytes(sig):
@@ -204,7 +247,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     first = staged(sets.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "near-equal")
     own = first.select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "rep")
     reps = staged(sets.join(own, ["doc_id", "d1", "d2", "n"]).dropDuplicates(["rep"]).select("rep", "n", "sig"), "near-reps")
-    pairs = candidates(reps)
+    pairs, large = candidates(reps)
     best = pairs.groupBy("b").agg(F.max(F.struct("alike", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
     # Rows that repeat an id hold several sets under it: link what they are equal to.
     same_id = sets.where("n > 0").select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -213,7 +256,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     links = confirmed(staged(best, "near-best"), docs).unionByName(same_id)
     parts = staged(components(links), "near-parts")
     part = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"p{c}"))
-    open_ = pairs.select("a", "b").join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
+    pairs = pairs.select("a", "b") if large is None else pairs.select("a", "b").unionByName(outsiders(large, reps, parts).select("a", "b")).distinct()
+    open_ = pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
     open_ = staged(open_, "near-open")
     if not open_.isEmpty():
         more = confirmed(open_, docs)
