@@ -77,6 +77,21 @@ def test_large_groups_of_copies(spark, docs):
     assert got == {i: c for i, (_, c) in want.items()}
 
 
+def test_hub_whose_copies_are_linked_only_with_it(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    rng, base = random.Random(6), [f"w{k}" for k in range(80)]
+    texts = [" ".join(base)]
+    for k in range(60):
+        words = list(base)
+        a = rng.randrange(5, 35)
+        words[a], words[a + 38] = f"x{k}", f"y{k}"
+        texts.append(" ".join(words))
+    want = brute_groups(list(enumerate(texts)))
+    assert {c for _, c in want.values()} == {0}
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts)).collect()} == {i: 0 for i in want}
+
+
 def test_repeated_ids_and_empty_table(spark, docs):
     texts, ids = ["a b c d e f g", "p q r s t u v", "p q r s t u v", "h i j k l m n"], [1, 1, 2, None]
     got = {(r["doc_id"], r["component_id"]) for r in near_dedup.near_groups(docs(texts, ids=ids)).collect()}
