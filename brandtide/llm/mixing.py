@@ -67,10 +67,9 @@ def plan(slim: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -
         sums = with_small(rows, found.select("key", "prefix"), ["key", "prefix"], "left_semi", n).groupBy("key", "digits").agg(F.sum("size").alias("held"))
         below = F.coalesce(F.sum("held").over(Window.partitionBy("key").orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         at = with_small(sums.withColumn("below", below), found.select("key", "rest", "prefix", "before"), "key", "inner", n).withColumn("start", F.col("before") + F.col("below"))
-        found = (
-            at.where((F.col("start") <= F.col("rest")) & (F.col("start") + F.col("held") > F.col("rest")))
-            .select("key", "rest", F.concat("prefix", "digits").alias("prefix"), F.col("start").alias("before"), "held")
-        )
+        hit = at.where((F.col("start") <= F.col("rest")) & (F.col("start") + F.col("held") > F.col("rest")))
+        # A row for each source; written, so that each level reads the sizes once.
+        found = staged(hit.select("key", "rest", F.concat("prefix", "digits").alias("prefix"), F.col("start").alias("before"), "held"), "mix-bucket")
     cut = found.select("key", F.col("prefix").alias("cut"), (F.col("before") + F.col("held") - F.col("rest") < F.col("rest") - F.col("before")).alias("inclusive"))
     return staged(state.join(cut, "key", "left").select("key", "source_size", "target", "whole", "cut", "inclusive"), "mix-thresholds"), n
 
