@@ -2,17 +2,18 @@
 
 Texts are sets of 64-bit hashes of five consecutive words (A-Z lower-cased). Equal sets are grouped first by a
 128-bit sum over the set, and only the smallest id of each goes on. From ``COORDINATES`` minwise values of each set,
-``TREES`` independent trees branch: a node chooses, from a hash of its path, one coordinate and with probability 1/3
-a second, so that at the threshold a pair has about one common child on average; a document goes to the child of its
-value there. Nodes of at most ``LEAF`` documents compare all pairs by their minwise values; larger ones branch on,
-down to ``DEPTH``, where what is still large (copies of one another, or nearly) is compared with one document that
-each tree's node draws at random. Pairs that may reach the threshold are confirmed on full sets: first the most
-similar partner of each document, then every pair that those links leave in different components. In a node that
-stayed large, the documents outside its main component are then compared with all the others, in blocks. So no pair
-between components goes untested, and no group is expanded into all its pairs.
-
-The chance that a pair at the threshold shares no first-level node is 0.1875 ** TREES (2e-9); estimates that lead
-astray by more than 0.25 (over five standard deviations) are the only other loss.
+``TREES`` independent trees branch: a root chooses, from a hash of its path, one coordinate and with probability 1/3
+a second, every node below two; a document goes to the child of its value there. Nodes of at most ``LEAF`` documents
+compare all pairs by their minwise values; larger ones branch on, down to ``DEPTH``, where what is still large (copies
+of one another, or nearly) is compared with the document of the least hash in its node. Pairs that may reach the
+threshold are confirmed on full sets: first the most similar partner of each document, then every pair that those
+links leave in different components. In a node that stayed large, the documents outside its main component are then
+compared with all of other components, in blocks. So no pair between components that meets there goes untested.
+
+A pair is lost if it shares no small node and no node of level ``DEPTH``, which depends on where its nodes get small.
+With the spread of the minwise values counted in, a pair at the threshold shares no node of level 1, 2, 3, 4 with
+chance 6e-14, 2e-11, 2e-10, 1e-9 (``missed``); fewer than half of its values agree with chance 4e-8, the only other
+loss. Both fall with similarity.
 
 Defined results: null, empty and blank texts have no shingle and are linked with nothing; fewer words than five are
 one shingle; rows that repeat an id are one document of several texts; an empty table gives an empty result.
@@ -20,6 +21,8 @@ one shingle; rows that repeat an id are one document of several texts; an empty
 
 from __future__ import annotations
 
+from math import ceil, comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,10 +32,24 @@ from brandtide.llm.common import Powers, mix64, small_batches, table, text_slice
 from brandtide.llm.graph import components
 from brandtide.runtime import staged
 
-SHINGLE, COORDINATES, TREES, LEAF, DEPTH, BLOCK = 5, 96, 12, 48, 4, 1024
+SHINGLE, COORDINATES, TREES, LEAF, DEPTH, BLOCK = 5, 96, 22, 48, 4, 1024
 WORD_BASE, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
 #: A pair may reach the threshold if this share of its minwise values agree.
 MAY = 0.5
+#: From so many pairs for each document on, sets go once to each cell of pairs instead of along with each pair.
+DENSE, CELL = 32, 128
+
+
+def missed(similarity: float, level: int) -> float:
+    """The chance that a pair which may reach the threshold shares no node of a level, if all nodes above are large."""
+    total = 0.0
+    for k in range(ceil(MAY * COORDINATES), COORDINATES + 1):
+        agree, below = k / COORDINATES, 0.0
+        for _ in range(level - 1):
+            below = (1 - agree + agree * below) ** 2
+        child = 1 - agree + agree * below
+        total += comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) * ((2 * child + child**2) / 3) ** TREES
+    return total
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, word_powers: Powers, powers: Powers, width: int = SHINGLE):
@@ -76,21 +93,25 @@ def sketches(batches):
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(sigs, pa.binary())], names=["doc_id", "n", "d1", "d2", "sig"])
 
 
-def branch(batches):
+def branch(root: bool):
     """Child nodes (key, rep) of rows (key, rep, sig)."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        keys, reps = b["key"].to_numpy().view(np.uint64), b["rep"].to_numpy()
-        sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        draw = mix64(keys ^ np.uint64(0x51ED2701))
-        one = (draw % np.uint64(COORDINATES)).astype(np.int64)
-        two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-        rows = np.arange(len(keys))
-        out = [(rows, one), (rows[(draw >> np.uint64(40)) % np.uint64(3) == 0], two)]
-        at, coordinate = np.concatenate([x for x, _ in out]), np.concatenate([one, two[out[1][0]]])
-        child = mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate])
-        yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(reps[at])], names=["key", "rep"])
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys, reps = b["key"].to_numpy().view(np.uint64), b["rep"].to_numpy()
+            sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(-1, COORDINATES)
+            draw = mix64(keys ^ np.uint64(0x51ED2701))
+            one = (draw % np.uint64(COORDINATES)).astype(np.int64)
+            two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+            rows = np.arange(len(keys))
+            second = rows[(draw >> np.uint64(40)) % np.uint64(3) == 0] if root else rows
+            at, coordinate = np.concatenate([rows, second]), np.concatenate([one, two[second]])
+            child = mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate])
+            yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(reps[at])], names=["key", "rep"])
+
+    return run
 
 
 def leaf_pairs(batches):
@@ -137,22 +158,44 @@ def full_sets(batches):
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
+def alike_enough(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * both >= 75 * (len(x) + len(y) - both)
+
+
 def confirm(batches):
     for b in batches:
-        keep = []
-        for x, y in zip(b["x"], b["y"]):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-        keep = pa.array(keep, pa.bool_())
+        keep = pa.array([alike_enough(*(np.frombuffer(v.as_buffer(), np.uint64) for v in p)) for p in zip(b["x"], b["y"])], pa.bool_())
         yield pa.record_batch([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
 
+def confirm_cells(batches):
+    """Pairs (with b) that reach the threshold; the sets (without b) of their cell come first."""
+    at, sets = None, {}
+    for batch in batches:
+        out = []
+        for cell, a, b, x in zip(*(batch[c].to_pylist() for c in ("cell", "a", "b", "shingles"))):
+            if at != cell:
+                at, sets = cell, {}
+            if b is None:
+                sets[a] = np.frombuffer(x, np.uint64)
+            elif alike_enough(sets[a], sets[b]):
+                out.append((a, b))
+        yield pa.record_batch([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that reach the threshold on full sets; ``pairs`` is a staged table."""
     ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-    chosen = with_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id", "left_semi", ids.count())
+    n_ids = ids.count()
+    chosen = with_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id", "left_semi", n_ids)
     sets = staged(chosen.mapInArrow(full_sets, "id long, shingles binary"), "near-sets")
+    if pairs.count() > DENSE * n_ids:
+        side = lambda c: F.pmod(F.xxhash64(c), F.lit(-(-n_ids // CELL)))
+        asked = pairs.select(F.shiftleft(side("a"), 32).bitwiseOR(side("b")).alias("cell"), "a", "b")
+        held = asked.select("cell", F.col("a").alias("id")).union(asked.select("cell", "b")).distinct().join(sets, "id").select("cell", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
+        rows = held.unionByName(asked, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", F.asc_nulls_first("b"))
+        return staged(rows.mapInArrow(confirm_cells, "a long, b long"), "near-links")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     return staged(joined.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"), "near-links")
 
@@ -163,7 +206,7 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     ``reps`` (rep, n, sig) is a staged table.
     """
     roots = F.explode(F.array(*[F.lit(int(x)) for x in mix64(np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)]))
-    rows, leaves, stars, more = reps.select(roots.alias("key"), "rep", "sig").mapInArrow(branch, "key long, rep long"), [], None, None
+    rows, leaves, stars, more = reps.select(roots.alias("key"), "rep", "sig").mapInArrow(branch(True), "key long, rep long"), [], None, None
     low = reps.select("rep", "n", F.col("sig"))
     for level in range(1, DEPTH + 1):
         rows = staged(rows, "near-nodes")
@@ -174,10 +217,10 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             break
         more = rows.join(large, "key", "left_semi")
         if level < DEPTH:
-            rows = more.join(reps.select("rep", "sig"), "rep").select("key", "rep", "sig").mapInArrow(branch, "key long, rep long")
+            rows = more.join(reps.select("rep", "sig"), "rep").select("key", "rep", "sig").mapInArrow(branch(False), "key long, rep long")
         else:
             more = staged(more, "near-large")
-            leader = more.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("h"), F.col("rep").alias("leader"))).alias("x")).select("key", "x.leader")
+            leader = more.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("leader"))).alias("x")).select("key", "x.leader")
             stars = more.join(leader, "key").where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     together = leaves[0]
     for x in leaves[1:]:
@@ -191,41 +234,39 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 
 def outsiders(large: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a < b, alike) of members outside the main component of a large node with all its members, by blocks."""
+    """Pairs (a < b) of members outside the main component of a large node with its members of other components, by blocks."""
     members = large.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = members.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"))
-    members = staged(members.join(sizes, "key").select("key", "rep", "blocks", (F.col("component") != F.col("main")).alias("out")), "near-members")
-    keys = members.where("out").select("key").distinct()
-    asked = members.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", F.lit(0).alias("kind"))
-    held = members.join(keys, "key", "left_semi").select("key", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int").alias("block"), "rep", F.lit(1).alias("kind"))
+    sizes = members.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    members = staged(members.join(sizes, "key").select("key", "rep", "component", "blocks", (F.col("component") != F.col("main")).alias("out")), "near-members")
+    asked = members.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "out", F.lit(0).alias("kind"))
+    held = members.select("key", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int").alias("block"), "rep", "component", "out", F.lit(1).alias("kind"))
     low = reps.select("rep", "n", _low_bytes(F.col("sig")).alias("low"))
-    return held.unionByName(asked).join(low, "rep").select("key", "block", "kind", "rep", "n", "low").repartition("key", "block").sortWithinPartitions("key", "block", F.desc("kind"), "rep").mapInArrow(block_pairs, "a long, b long, alike int").distinct()
+    rows = held.unionByName(asked).join(low, "rep").select("key", "block", "kind", "rep", "component", "out", "n", "low").repartition("key", "block").sortWithinPartitions("key", "block", F.desc("kind"), "rep")
+    return rows.mapInArrow(block_pairs, "a long, b long").distinct()
 
 
 def block_pairs(batches):
-    """Each asked row (kind 0) with every member (kind 1) of its key and block, which come first."""
-    at, reps, n, low = None, [], [], []
+    """Each asked row (kind 0) with the members (kind 1) of its key and block, which come first, of other components."""
+    at, held = None, []
     for b in batches:
         keys = np.stack([b[c].to_numpy().astype(np.int64) for c in ("key", "block")], axis=1)
-        kind, own, sizes = (b[c].to_numpy() for c in ("kind", "rep", "n"))
+        kind, own, part, sizes = (b[c].to_numpy() for c in ("kind", "rep", "component", "n"))
+        outside = b["out"].to_numpy(zero_copy_only=False)
         rows = np.frombuffer(b"".join(b["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
         cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1) | (kind[1:] != kind[:-1])])) if len(own) else []
         for x, y in zip(cuts, [*cuts[1:], len(own)]):
             if at != (key := tuple(keys[x])):
-                at, reps, n, low = key, [], [], []
+                at, held = key, []
             if kind[x] == 1:
-                reps.append(own[x:y])
-                n.append(sizes[x:y])
-                low.append(rows[x:y])
+                held.append((own[x:y], part[x:y], outside[x:y], sizes[x:y], rows[x:y]))
                 continue
-            r, m, t, found = np.concatenate(reps), np.concatenate(n), np.concatenate(low), []
-            for i in range(x, y):
-                fits = np.flatnonzero((100 * np.minimum(m, sizes[i]) >= 75 * np.maximum(m, sizes[i])) & (r != own[i]))
-                alike = (t[fits] == rows[i]).sum(axis=1)
-                ok = alike >= MAY * COORDINATES
-                found.append((np.minimum(r[fits[ok]], own[i]), np.maximum(r[fits[ok]], own[i]), alike[ok]))
-            a, c, d = (np.concatenate(z) for z in zip(*found))
-            yield pa.record_batch([pa.array(a), pa.array(c), pa.array(d.astype(np.int32))], names=["a", "b", "alike"])
+            held, found = [tuple(np.concatenate(z) for z in zip(*held))], []
+            r, p, o, m, t = held[0]
+            for i in range(x, y):  # two rows that are both asked meet twice: the smaller one counts
+                fits = np.flatnonzero((p != part[i]) & ~(o & (r < own[i])) & (100 * np.minimum(m, sizes[i]) >= 75 * np.maximum(m, sizes[i])))
+                other = r[fits[(t[fits] == rows[i]).sum(axis=1) >= MAY * COORDINATES]]
+                found.append((np.minimum(other, own[i]), np.maximum(other, own[i])))
+            yield pa.record_batch([pa.array(np.concatenate(z)) for z in zip(*found)], names=["a", "b"])
 
 
 def _low_bytes(sig):
@@ -241,6 +282,16 @@ def star_pairs(batches):
         yield pa.record_batch([b["a"].filter(ok), b["b"].filter(ok), pa.array(alike.astype(np.int32)).filter(ok)], names=["a", "b", "alike"])
 
 
+def merged(parts: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """Components (node, component), staged, after links among the pairs that ``parts`` leaves apart; None if there are none."""
+    part = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"p{c}"))
+    open_ = staged(pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b"), "near-open")
+    more = None if open_.isEmpty() else confirmed(open_, docs)
+    if more is None or more.isEmpty():
+        return None
+    return staged(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-parts")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     sets = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketches, "doc_id long, n long, d1 long, d2 long, sig binary"), "near-sketches")
@@ -255,14 +306,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     same_id = same_id.join(repeated, "a", "left_semi")
     links = confirmed(staged(best, "near-best"), docs).unionByName(same_id)
     parts = staged(components(links), "near-parts")
-    part = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"p{c}"))
-    pairs = pairs.select("a", "b") if large is None else pairs.select("a", "b").unionByName(outsiders(large, reps, parts).select("a", "b")).distinct()
-    open_ = pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
-    open_ = staged(open_, "near-open")
-    if not open_.isEmpty():
-        more = confirmed(open_, docs)
-        if not more.isEmpty():
-            parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    parts = merged(parts, pairs, docs) or parts
+    if large is not None:
+        parts = merged(parts, outsiders(large, reps, parts), docs) or parts
     component = first.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id"))
     found = sets.select("doc_id", "n", "d1", "d2").join(component, ["d1", "d2", "n"], "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -92,6 +92,32 @@ def test_hub_whose_copies_are_linked_only_with_it(spark, docs, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts)).collect()} == {i: 0 for i in want}
 
 
+def test_pairs_at_the_threshold_are_found_however_deep_their_nodes(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF", 0)  # every node that two documents share branches on
+    rng, texts = random.Random(8), []
+    for k in range(4000):
+        words = [f"w{k}x{i}" for i in range(74)]
+        texts.append(" ".join(words))
+        words[rng.randrange(5, 30)] = words[rng.randrange(40, 65)] = "other"
+        texts.append(" ".join(words))
+    assert brute_groups(list(enumerate(texts[:2])))[1] == (70, 0)  # 60 of 80 shingles: 0.75
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts).repartition(4)).collect()}
+    assert [i for i, c in got.items() if c != i - i % 2] == []
+    assert near_dedup.missed(0.75, near_dedup.DEPTH) < 2e-9
+
+
+def test_dense_pairs_are_confirmed_by_cells(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CELL", 5)
+    texts = [t for t in corpus(5) if t and WORD.findall(t)]
+    ids = range(len(texts))
+    pairs = spark.createDataFrame([(a, b) for b in ids for a in range(b)], "a long, b long")
+    found = []
+    for dense in (0, 10**6):
+        monkeypatch.setattr(near_dedup, "DENSE", dense)
+        found.append(sorted(map(tuple, near_dedup.confirmed(pairs, docs(texts)).collect())))
+    assert found[0] == found[1] and len(found[0]) > 5
+
+
 def test_repeated_ids_and_empty_table(spark, docs):
     texts, ids = ["a b c d e f g", "p q r s t u v", "p q r s t u v", "h i j k l m n"], [1, 1, 2, None]
     got = {(r["doc_id"], r["component_id"]) for r in near_dedup.near_groups(docs(texts, ids=ids)).collect()}
