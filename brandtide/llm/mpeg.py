@@ -1,6 +1,6 @@
 """Media columns of MPEG audio: write and read elementary streams held in a binary column.
 
-Reading handles MPEG 1, 2 and 2.5, layers I to III: ID3v2 tags before and ID3v1 or APE tags behind the frames, a
+Reading handles MPEG 1, 2 and 2.5, layers I to III: ID3v2 tags before and ID3v1 or APE tags behind the last frame, a
 search for the next pair of matching headers wherever junk or damage breaks the chain, Xing/Info tables with
 their LAME part and VBRI tables, CRC-16 of layer III headers and side information, the exact number of samples
 and the offset of every frame. Free-format frames are not read: they count as junk.
@@ -8,6 +8,8 @@ and the offset of every frame. Free-format frames are not read: they count as ju
 Writing stores arbitrary bytes as a variable-bitrate layer III stream of digital silence, the bytes being each
 frame's ancillary data after a two-byte length, with CRCs, a Xing table and an ID3v2 tag that holds the length.
 
+The query raises an error if a payload is not as long as its tag says.
+
 Defined results: null or empty media have no frame, no samples and an empty payload; equal bytes give equal
 results; repeated rows are rows of their own; an empty table gives an empty result.
 """
@@ -99,6 +101,17 @@ def _vbr(frame: bytes, head: tuple) -> dict | None:
     return None
 
 
+def _trailing(media: bytes, start: int) -> dict[int, list[str]]:
+    """Where tags behind the frames may begin, and which; frames may also hold bytes that look like them."""
+    ends, out = {len(media): []}, {}
+    if len(media) - start >= 128 and media[-128:-125] == b"TAG":
+        ends[len(media) - 128] = out[len(media) - 128] = ["ID3v1"]
+    for end, before in ends.items():
+        if end - start >= 32 and media[end - 32 : end - 24] == b"APETAGEX":
+            out[end - min(end - start, int.from_bytes(media[end - 20 : end - 16], "little") + 32 * bool(media[end - 9] & 128))] = [*before, "APE"]
+    return out
+
+
 def read(media: bytes) -> dict:
     """Tags, table, frames and payload of a stream; see the keys below."""
     data, pos, end = np.frombuffer(media, np.uint8), 0, len(media)
@@ -114,20 +127,21 @@ def read(media: bytes) -> dict:
                 out["stored_bytes"] = int.from_bytes(value[len(OWNER) :], "big")
             body += 10 + n
         pos = stop + 10 * bool(media[pos + 5] & 16)
-    if end - pos >= 128 and media[end - 128 : end - 125] == b"TAG":
-        end -= 128
-        out["tags"].append("ID3v1")
-    if end - pos >= 32 and media[end - 32 : end - 24] == b"APETAGEX":
-        end -= min(end - pos, int.from_bytes(media[end - 20 : end - 16], "little") + 32 * bool(media[end - 9] & 128))
-        out["tags"].append("APE")
+    trailing = _trailing(media, pos)
     offsets, payload, like, first = [], [], None, True
     fits = lambda a, b: a is not None and (b is None or a[:3] == b[:3])
     while pos + 4 <= end:
         head = header(media[pos : pos + 4])
-        ok = fits(head, like) and pos + head[4] <= end and (pos + head[4] + 4 > end or fits(header(media[pos + head[4] : pos + head[4] + 4]), head))
+        ok = fits(head, like) and pos + head[4] <= end and (pos + head[4] + 4 > end or pos + head[4] in trailing or fits(header(media[pos + head[4] : pos + head[4] + 4]), head))
         if not ok:
             step = media.find(b"\xff", pos + 1, end)
             step = end if step < 0 else step
+            tag = min((t for t in trailing if pos <= t <= step), default=None)
+            if tag is not None:  # no frame holds these bytes
+                step = end = tag
+                out["tags"] += trailing[tag]
+            if step == pos:
+                break
             out["junk_bytes"] += step - pos
             out["resyncs"] += like is not None and (not offsets or offsets[-1][-1] >= 0) and not out.get("lost")
             out["lost"] = True
@@ -239,6 +253,8 @@ def load(batches):
             media = media.as_py() or b""
             x = read(media)
             p = x["payload"]
+            if x["stored_bytes"] not in (None, len(p)):
+                raise ValueError(f"document {doc_id}: {len(p)} bytes read, {x['stored_bytes']} stored")
             rows.append((doc_id, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(x), x["rate"], x["n_samples"], x["offsets"]))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=[x.split()[0] for x in READ.split(", ")])

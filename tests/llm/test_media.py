@@ -2,6 +2,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brandtide.llm import mpeg
@@ -47,6 +48,24 @@ def test_tags_lame_and_vbri():
     assert mpeg.read(vbri + (head + bytes(956)) * 4)["vbr"] == {"kind": "VBRI", "bytes": 9, "frames": 4, "delay": 0, "toc": [256, 512]}
 
 
+@pytest.mark.parametrize("back,mark", [(128, b"TAG"), (32, b"APETAGEX" + bytes([0, 0, 0, 0, 0xC0, 3, 0, 0]) + bytes(16))])
+def test_payload_that_looks_like_a_trailing_tag(back, mark):
+    payload = (b"z" * (920 * 2 - back) + mark).ljust(920 * 2, b"z")
+    media = mpeg.write(payload)
+    assert media[-back:].startswith(mark) and mpeg.read(media)["payload"] == payload and mpeg.read(media)["tags"] == ["PRIV"]
+    tag = b"TAG" + bytes(125)
+    assert mpeg.read(media + tag)["payload"] == payload and mpeg.read(media + tag)["tags"] == ["PRIV", "ID3v1"] and not mpeg.read(media + tag)["junk_bytes"]
+    assert mpeg.read(tag)["tags"] == ["ID3v1"] and not mpeg.read(tag)["junk_bytes"]
+    assert mpeg.read(media + b"junk" + tag)["junk_bytes"] >= 4 and mpeg.read(media + b"junk" + tag)["tags"] == ["PRIV", "ID3v1"]
+
+
+def test_lost_payload_is_an_error():
+    media = mpeg.write(b"t" * 9000)
+    rows = pa.record_batch([pa.array([1]), pa.array([9000]), pa.array([media[:-960]], pa.binary())], names=["doc_id", "n_bytes", "media"])
+    with pytest.raises(ValueError, match="9000 stored"):
+        list(mpeg.load([rows]))
+
+
 @pytest.mark.parametrize("word,size,samples", [("fffb9064", 417, 1152), ("fffd8404", 384, 1152), ("ffff1400", 32, 384), ("fff35044", 130, 576)])
 def test_headers(word, size, samples):
     assert mpeg.header(bytes.fromhex(word))[4:6] == (size, samples)
