@@ -46,9 +46,13 @@ def iqr_dates(rows: DataFrame, p: SpikeParams) -> DataFrame:
     return daily.where(period).join(stats.select("Channel", "L3Title", upper.alias("upper")), ["Channel", "L3Title"]).where("day_gmv > upper")
 
 
-def with_flags(fact: DataFrame, p: SpikeParams) -> DataFrame:
-    """Rows of the period's range with flag_a to flag_g (lifted to the item's day) and gap_days."""
-    rows = in_range(with_last_seen(coerced(fact)), p)
+def with_flags(fact: DataFrame, p: SpikeParams, only: Column | None = None) -> DataFrame:
+    """Rows of the period's range with flag_a to flag_g (lifted to the item's day) and gap_days.
+
+    Rows that ``only`` leaves out serve as what an item was last seen by, and for nothing else.
+    """
+    rows = with_last_seen(coerced(fact))
+    rows = in_range(rows if only is None else rows.where(only), p)
     item = Window.partitionBy("Channel", "L3Title", "ItemId")
     around, earlier, later = (item.orderBy("day_no").rangeBetween(*x) for x in ((-p.radius, p.radius), (-p.radius, -1), (1, p.radius)))
     n, total, r = F.col("DailySalesCount"), F.col("TotalCount"), p.radius
@@ -77,10 +81,10 @@ def with_flags(fact: DataFrame, p: SpikeParams) -> DataFrame:
     return rows.withColumns(lifted).drop(*[f"row_{k}" for k in flags], "row_gap")
 
 
-def labelled(fact: DataFrame, p: SpikeParams) -> DataFrame:
-    """Flagged rows of the period with label, window, GMV in millions, ratio and gap."""
-    rows = with_flags(fact, p)
-    dates = iqr_dates(in_range(coerced(fact), p), p).select("Channel", "L3Title", "ScrapDate", F.lit(True).alias("is_iqr"))
+def labelled(fact: DataFrame, p: SpikeParams, only: Column | None = None) -> DataFrame:
+    """Flagged rows of the period (and of ``only``) with label, window, GMV in millions, ratio and gap."""
+    rows = with_flags(fact, p, only)
+    dates = iqr_dates(in_range(coerced(fact if only is None else fact.where(only)), p), p).select("Channel", "L3Title", "ScrapDate", F.lit(True).alias("is_iqr"))
     rows = rows.where(F.col("ScrapDate").between(F.lit(p.period_from), F.lit(p.period_to))).join(dates, ["Channel", "L3Title", "ScrapDate"], "left")
     iqr = F.coalesce("is_iqr", F.lit(False))
     gate = {"a": iqr & p.include_stale, "b": iqr & p.include_stale, "c": F.lit(True), "d": F.lit(True), "f": iqr & p.enable_ghost, "g": iqr & p.enable_ghost}

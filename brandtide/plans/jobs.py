@@ -19,7 +19,7 @@ DETAIL = "spike_flag spike_date win_from win_to Channel L3Title Brand ItemId Sho
 
 def spike_job(fact: DataFrame, p: SpikeParams, out: str, table: str, decisions: DataFrame | None = None, **only: str) -> DataFrame:
     """Writes summary, detail and statements under ``out``; with decisions also the surviving rows. Returns the detail."""
-    kept = staged(spikes.above_min_gmv(spikes.labelled(fact.where(fact_filter(**only)), p), p), "spikes")
+    kept = staged(spikes.above_min_gmv(spikes.labelled(fact, p, fact_filter(**only)), p), "spikes")
     detail = kept.select([c for c in DETAIL if c in kept.columns])
     spikes.summary(kept).orderBy(F.desc("gmv_jt")).coalesce(1).write.mode("overwrite").csv(f"{out}/summary", header=True)
     detail.orderBy("Channel", "L3Title", "spike_date", F.desc("gmv_jt")).write.mode("overwrite").csv(f"{out}/detail", header=True)

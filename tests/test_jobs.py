@@ -21,6 +21,14 @@ def test_spike_job(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/summary", header=True).first()["item_count"] == "1"
 
 
+def test_filtered_job_sees_items_under_other_categories(spark, tmp_path):
+    p = SpikeParams(period_from=D0 - timedelta(9), period_to=D0, min_gmv=0.0)
+    rows = [row("back", D0 - timedelta(p.radius + 80), 5, 1000, l3="Oil"), row("back", D0, 300, 1300)]
+    rows += [row("other", D0 - timedelta(k), 5, 100000) for k in range(1, 30)]
+    detail = jobs.spike_job(facts(spark, rows), p, str(tmp_path), "default.t", l3title="Soap").collect()
+    assert [(r["ItemId"], r["spike_flag"], r["gap_days"], r["L3Title"]) for r in detail] == [("back", "GHOST_REAPPEARANCE", p.radius + 80, "Soap")]
+
+
 def test_options():
     got, p = jobs.parse(["t", "o", "--jump-mult", "5", "--no-enable-ghost", "--include-stale", "--period-from", "2026-01-02", "--channel", "x"])
     assert (p.jump_mult, p.enable_ghost, p.include_stale, p.period_from, got.channel, p.radius) == (5, False, True, date(2026, 1, 2), "x", 120)
