@@ -6,7 +6,8 @@ language (chosen by a hash of the id; the documented bound of the fit); the log-
 size, is broadcast. Scoring gathers the matrix rows of a batch's n-grams and sums them by document in numpy.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if there is no
-labelled row; equal scores go to the first language by code point; a null language is no label.
+labelled row; equal scores go to the first language by code point; a null language is no label; more than
+``LANGUAGES`` different labels are an error.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from brandtide.llm.common import SLICE_BYTES, mix64, small_batches, table, text_slices
 
-ROWS_PER_LANGUAGE = 5000
+ROWS_PER_LANGUAGE, LANGUAGES = 5000, 4096
 BUCKETS, ORDERS, ALPHA = 1 << 16, (1, 2, 3), 0.1
 #: The matrix has at most so many cells; with very many languages there are fewer buckets.
 CELLS = 1 << 25
@@ -67,7 +68,9 @@ def grams(texts: list[str], known: np.ndarray, buckets: int) -> tuple[list[np.nd
 def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and their matrix (buckets x languages, float32) from rows with doc_id, text and lang."""
     labelled = labelled.where("lang is not null")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(4096).collect()}
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages are labelled")
     langs = sorted(sizes)
     buckets = BUCKETS
     while buckets * len(langs) > CELLS:

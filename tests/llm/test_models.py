@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from brandtide.llm import langid, toxicity
@@ -32,6 +33,12 @@ def test_language_without_labels(spark, docs, sf_dir):
     assert langid.op2_language(spark, sf_dir(documents=docs([]))).count() == 0
 
 
+def test_too_many_languages_are_an_error(spark, docs):
+    n = langid.LANGUAGES + 1
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs(["ab"] * n, langs=[f"l{k}" for k in range(n)]))
+
+
 def test_matrix_is_naive_bayes(spark, docs):
     langs, logs = langid.fit(docs(["ab", "cd", "cd"], langs=["x", "y", "y"]))
     counts = np.zeros((langid.BUCKETS, 2))
