@@ -5,8 +5,9 @@ piece. Pieces are dealt at random into groups of some thousand rows, and each gr
 descending order of size. Open bins are kept in order of what they have left, and each carries bitmaps of
 the sources and duplicate clusters within it. The search starts at the first bin that has room and goes on
 to the next until it finds a compatible one, which is then the tightest; only if none is left, a bin opens.
-Two pieces of one duplicate cluster never share a bin, and no bin holds more than ``per_source`` pieces of a
-source. There is no limit on bins or on how far the search goes.
+Two pieces of one duplicate cluster (documents of equal text; near copies may share a bin) never share a bin, and no
+bin holds more than ``per_source`` pieces of a source. There is no limit on bins or on how far the search goes within
+the group; bins of other groups are not searched.
 
 Defined results: null and empty texts have no piece (piece 0, bin_id null); a null source is a source, null
 texts are a cluster; repeated rows are pieces of their own and conflict; an empty table gives an empty result.
