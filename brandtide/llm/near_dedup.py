@@ -16,7 +16,8 @@ chance 6e-14, 2e-11, 2e-10, 1e-9 (``missed``); fewer than half of its values agr
 loss. Both fall with similarity.
 
 Defined results: null, empty and blank texts have no shingle and are linked with nothing; fewer words than five are
-one shingle; rows that repeat an id are one document of several texts; an empty table gives an empty result.
+one shingle; rows that repeat an id are one document of several texts, of which one is kept; rows of a null id are
+linked with nothing, so that near copies among them stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations

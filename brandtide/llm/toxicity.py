@@ -19,7 +19,8 @@ documented bounds of the fit, which also bound what is broadcast. Counts of the
 
 Defined results: a null or empty text has the value of words that neither class shows, and the score of the curve there; without labels of both
 classes every score is the share of toxic labels (0 without any); a null label is none; labels that repeat an id
-count once, by the largest.
+count once, by the largest. ``without_toxic`` never rejects a row of a null id, and rejects all rows of an id that
+has one toxic text.
 """
 
 from __future__ import annotations
