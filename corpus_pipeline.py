@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brandtide.llm import mixing, near_dedup, packing, substrings, toxicity
 from brandtide.llm.common import small_batches, table
-from brandtide.runtime import staged
+from brandtide.runtime import scratch, staged
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as keep:  # a stage's own tables go once its rows are written
+            docs = keep(staged(stage(spark, docs, sf_dir), f"stage-{name}"))
     return docs
