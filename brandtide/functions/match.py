@@ -87,6 +87,37 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
+def best_of(word: str, names: dict[int, list[tuple[str, str]]]) -> tuple[float, str | None]:
+    """The best ratio of a word, and the first name that has it; ``names`` are (name, skeleton) by length of skeleton.
+
+    Lengths x and y allow 200 * min(x, y) / (x + y) at most, so lengths are tried from the nearest on until none can be
+    better; 0 counts as no name.
+    """
+    best, found, n = 0.0, None, len(word)
+    bound = lambda k: 200.0 * min(n, k) / (n + k) if n + k else 100.0
+    for k in sorted(names, key=bound, reverse=True):
+        if bound(k) < best or bound(k) == 0:
+            break
+        for name, other in names[k]:
+            score = indel_ratio(word, other)
+            if score > best or score == best > 0 and name < found:
+                best, found = score, name
+    return best, found
+
+
+@F.pandas_udf(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("name", T.StringType())]))
+def best_match_udf(words: pd.Series, names: pd.Series, skeletons: pd.Series) -> pd.DataFrame:
+    """The best of the names in each row's list; rows of one list follow each other."""
+    out, last, by_length = [], None, {}
+    for word, own, other in zip(words, names, skeletons):
+        if last is None or len(last) != len(own) or (last != own).any():
+            last, by_length = own, {}
+            for name, x in zip(own, other):
+                by_length.setdefault(len(x), []).append((name, x))
+        out.append(best_of(word, by_length))
+    return pd.DataFrame(out, columns=["score", "name"])
+
+
 @F.pandas_udf(T.StringType())
 def metaphone_udf(words: pd.Series) -> pd.Series:
     return words.map(lambda x: None if x is None else metaphone(x))

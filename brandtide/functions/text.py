@@ -62,18 +62,54 @@ def vocabulary_tokens(c: Column) -> Column:
     return F.filter(tokens(c), lambda w: w.rlike("^[a-z]{3,}$") & ~w.isin(*VOCABULARY_STOPWORDS))
 
 
+def once(c: Column, f) -> Column:
+    """f(c) for a function that names its argument several times: the bound variable keeps c from being evaluated each time."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
 def ngrams(words: Column) -> Column:
     """Single words and neighbouring pairs of an array, in that order."""
-    n = F.size(words)
-    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(words, F.when(n > 1, pairs).otherwise(F.array().cast("array<string>")))
+
+    def both(w: Column) -> Column:
+        rest = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.concat(w, F.zip_with(F.slice(w, F.lit(1), rest), F.slice(w, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b)))
+
+    return once(words, both)
 
 
 def is_generic(normal: Column) -> Column:
     """Whether at least 60 % of a normalized name's words (one at least) are generic; true for an empty name."""
-    words = tokens(normal)
-    hits = F.size(F.filter(words, lambda w: w.isin(*GENERIC_WORDS)))
-    return (F.size(words) == 0) | (hits >= F.greatest(F.lit(1), F.ceil(F.size(words) * 0.6)))
+
+    def mostly(words: Column) -> Column:
+        hits = F.size(F.filter(words, lambda w: w.isin(*GENERIC_WORDS)))
+        return (F.size(words) == 0) | (hits >= F.greatest(F.lit(1), F.ceil(F.size(words) * 0.6)))
+
+    return once(tokens(normal), mostly)
+
+
+def substrings(c: Column) -> Column:
+    """All distinct substrings of a name, the empty one among them."""
+
+    def parts(x: Column) -> Column:
+        from_each = F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.transform(F.sequence(F.lit(1), F.length(x) - i + 1), lambda n: F.substr(x, i, n)))
+        return F.when(F.length(x) > 0, F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(from_each)))).otherwise(F.array(F.lit("")))
+
+    return once(c, parts)
+
+
+# Fixed value: the sentence that gives a bare name a context before it is encoded.
+SENTENCE = "produk dengan merek {}"
+
+
+def sentence(name: Column, template: str = SENTENCE) -> Column:
+    """A name within the sentence that an encoder is given; ``{}`` stands for the name."""
+    before, _, after = template.partition("{}")
+    return F.concat(F.lit(before), name, F.lit(after))
+
+
+def json_list(names: Column) -> Column:
+    """An array of names as the JSON text that a judge's prompt holds; letters of any script stay as they are."""
+    return F.to_json(names)
 
 
 def json_names(raw: Column) -> Column:

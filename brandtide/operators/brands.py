@@ -9,14 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brandtide.functions.match import indel_ratio_udf, metaphone_udf
-from brandtide.functions.text import clean_title, cosine, ngrams, skeleton, title_case, title_tokens, tokens, vocabulary_tokens
+from brandtide.functions.match import best_match_udf, metaphone_udf
+from brandtide.functions.text import clean_title, cosine, ngrams, skeleton, substrings, title_case, title_tokens, tokens, vocabulary_tokens
 from brandtide.params import BrandParams
 from brandtide.runtime import staged
 
 P = BrandParams()
 #: Rows of a table of brands or rules that may be broadcast.
 SMALL_ROWS = 100_000
+#: Master brands in a list that candidates are compared with at once.
+LIST_ROWS = 5000
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -41,8 +43,11 @@ def simple_ngrams(listings: DataFrame, p: BrandParams = P) -> DataFrame:
 
 def vocabulary(listings: DataFrame, p: BrandParams = P) -> DataFrame:
     """ngram and the number of titles that have it, for n-grams neither too rare nor too frequent."""
-    n = listings.count()
-    grams = listings.select(F.explode(F.array_distinct(ngrams(vocabulary_tokens(clean_title(F.col("ListingName")))))).alias("ngram"))
+    return _vocabulary(listings.select(clean_title(F.col("ListingName")).alias("clean")), listings.count(), p)
+
+
+def _vocabulary(titles: DataFrame, n: int, p: BrandParams) -> DataFrame:
+    grams = titles.select(F.explode(F.array_distinct(ngrams(vocabulary_tokens(F.col("clean"))))).alias("ngram"))
     return grams.groupBy("ngram").agg(F.count("*").alias("df")).where((F.col("df") >= p.min_df) & (F.col("df") <= p.max_df * n))
 
 
@@ -51,33 +56,38 @@ def ngram_stats(listings: DataFrame, p: BrandParams = P) -> DataFrame:
 
     ``listings`` has ``ord``, which says what comes first. Repeats within a title count each time.
     """
-    lead = F.slice(tokens(clean_title(F.col("ListingName"))), 1, p.leading_words)
-    rows = listings.select("ord", "ItemId", F.coalesce("DailySalesValue", F.lit(0.0)).alias("gmv"), F.posexplode(ngrams(lead)).alias("pos", "ngram"))
-    rows = staged(rows.join(vocabulary(listings, p).select("ngram"), "ngram", "left_semi"), "ngram-rows")
-    # Three minima in turn rather than a ranking: each is aggregated before the shuffle, however frequent an n-gram is.
-    sums = rows.groupBy("ngram").agg(F.count("*").alias("occurrences"), F.round(F.sum("gmv"), 2).alias("total_gmv"), *[F.min(F.struct("ord", "pos", "ItemId")).alias("s1")])
-    second = rows.join(sums.select("ngram", "s1"), "ngram").where(F.struct("ord", "pos", "ItemId") > F.col("s1")).groupBy("ngram").agg(F.min(F.struct("ord", "pos", "ItemId")).alias("s2"))
-    third = rows.join(second, "ngram").where(F.struct("ord", "pos", "ItemId") > F.col("s2")).groupBy("ngram").agg(F.min(F.struct("ord", "pos", "ItemId")).alias("s3"))
-    samples = F.array_compact(F.array("s1.ItemId", "s2.ItemId", "s3.ItemId"))
-    return sums.join(second, "ngram", "left").join(third, "ngram", "left").select("ngram", "occurrences", "total_gmv", F.array_join(samples, " || ").alias("samples"))
+    titles = staged(listings.select("ord", "ItemId", F.coalesce("DailySalesValue", F.lit(0.0)).alias("gmv"), clean_title(F.col("ListingName")).alias("clean")), "ngram-titles")
+    lead = F.slice(tokens(F.substring_index("clean", " ", p.leading_words)), 1, p.leading_words)
+    rows = titles.select("ord", "ItemId", "gmv", F.posexplode(ngrams(lead)).alias("pos", "ngram"))
+    rows = staged(rows.join(_vocabulary(titles, titles.count(), p).select("ngram"), "ngram", "left_semi"), "ngram-rows")
+    # A limited rank: each task keeps three rows of an n-gram before they are shuffled, however frequent it is.
+    rank = F.row_number().over(Window.partitionBy("ngram").orderBy("ord", "pos", "ItemId"))
+    first = rows.withColumn("rank", rank).where("rank <= 3").groupBy("ngram").agg(F.array_sort(F.collect_list(F.struct("rank", "ItemId"))).alias("s"))
+    sums = rows.groupBy("ngram").agg(F.count("*").alias("occurrences"), F.round(F.sum("gmv"), 2).alias("total_gmv"))
+    return sums.join(first, "ngram").select("ngram", "occurrences", "total_gmv", F.array_join("s.ItemId", " || ").alias("samples"))
 
 
 def matched(candidates: DataFrame, masters: DataFrame, p: BrandParams = P) -> DataFrame:
     """``candidates`` (candidate) with status, suggested, score: equal, short, alike in sound, alike in letters, or new.
 
-    The likeness of a new brand is its best over all masters, so that layer compares with each of them; masters are few
-    (their number is checked before they are broadcast). Of several masters that sound alike the first by name counts.
+    The score of a new brand is its best over all masters. Candidates meet the masters in lists of ``LIST_ROWS``, not
+    one by one, and within a list lengths that cannot be better are passed over. Of several masters that sound alike
+    the first by name counts.
     """
-    masters = masters.select(F.col("Brand").alias("master"), F.lower("Brand").alias("low"), skeleton(F.col("Brand")).alias("m_skeleton")).distinct()
-    masters = _small(masters.withColumn("m_sound", metaphone_udf("m_skeleton")))
+    masters = staged(masters.select(F.col("Brand").alias("master"), F.lower("Brand").alias("low"), skeleton(F.col("Brand")).alias("m_skeleton")).distinct().withColumn("m_sound", metaphone_udf("m_skeleton")), "brand-masters")
+    few = masters.count()
     c = candidates.select("candidate").distinct().withColumn("low", F.lower("candidate")).withColumn("skeleton", skeleton(F.col("candidate")))
-    exact = c.join(masters.groupBy("low").agg(F.min("master").alias("suggested")), "low").select("candidate", "suggested")
-    rest = c.join(exact.select("candidate"), "candidate", "left_anti")
-    long_ = rest.where(F.length("skeleton") >= p.min_skeleton).withColumn("sound", metaphone_udf("skeleton"))
+    c = staged(c.join(_small(masters.groupBy("low").agg(F.min("master").alias("exact"))), "low", "left"), "brand-names")
+    exact = c.where("exact is not null").select("candidate", F.col("exact").alias("suggested"))
+    rest = c.where("exact is null")
+    long_ = staged(rest.where(F.length("skeleton") >= p.min_skeleton).withColumn("sound", metaphone_udf("skeleton")).select("candidate", "skeleton", "sound"), "brand-sounds")
     ratio = F.length("skeleton") / F.greatest(F.length("m_skeleton"), F.lit(1))
-    sound = long_.join(masters, F.col("sound") == F.col("m_sound")).where((F.length("sound") >= p.min_phonetic) & ratio.between(p.min_length_ratio, p.max_length_ratio)).groupBy("candidate").agg(F.min("master").alias("suggested"))
+    sound = long_.join(_small(masters), F.col("sound") == F.col("m_sound")).where((F.length("sound") >= p.min_phonetic) & ratio.between(p.min_length_ratio, p.max_length_ratio)).groupBy("candidate").agg(F.min("master").alias("suggested"))
     left = long_.join(sound.select("candidate"), "candidate", "left_anti")
-    fuzzy = left.join(masters.select("master", "m_skeleton")).withColumn("score", indel_ratio_udf("skeleton", "m_skeleton")).groupBy("candidate").agg(F.max(F.struct("score")).alias("best"), F.min_by("master", F.struct(-F.col("score"), F.col("master"))).alias("suggested")).select("candidate", F.col("best.score").alias("score"), "suggested")
+    lists = masters.select("master", "m_skeleton", F.pmod(F.xxhash64("master"), F.lit(-(-few // LIST_ROWS) or 1)).alias("list"))
+    lists = lists.groupBy("list").agg(F.array_sort(F.collect_list(F.struct("master", "m_skeleton"))).alias("x")).select(F.col("x.master").alias("names"), F.col("x.m_skeleton").alias("skeletons"))
+    best = left.join(lists).withColumn("b", best_match_udf("skeleton", "names", "skeletons"))  # each list is a stated block of the masters
+    fuzzy = best.groupBy("candidate").agg(F.max("b.score").alias("score"), F.min_by("b.name", F.struct(-F.col("b.score"), F.col("b.name"))).alias("suggested"))
     fuzzy = left.select("candidate").join(fuzzy, "candidate", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     known = F.col("score") >= p.min_fuzz
     row = lambda df, status, suggested, score: df.select("candidate", status.alias("status"), suggested.alias("suggested"), score.alias("score"))
@@ -151,12 +161,16 @@ def validated(bucketed_: DataFrame, judge: Judge = accept_all, strict: bool = Fa
                 yield pd.DataFrame({"verified": sorted(judge(names[i : i + batch]))}, dtype="object")
 
     ambiguous = bucketed_.where("bucket = 'ambiguous'").select("candidate")
-    verified = ambiguous.mapInPandas(ask, "verified string").select(skeleton(F.col("verified")).alias("v")).distinct()
-    own = ambiguous.withColumn("own", skeleton(F.col("candidate")))
+    # Written, so that the judge is asked once.
+    verified = staged(ambiguous.mapInPandas(ask, "verified string").select(skeleton(F.col("verified")).alias("v")).distinct(), "brand-verified")
+    own = staged(ambiguous.select("candidate", skeleton(F.col("candidate")).alias("own")), "brand-ambiguous")
     equal = own.join(verified, own["own"] == verified["v"], "left_semi")
     rest = own.join(equal.select("candidate"), "candidate", "left_anti")
-    inside = rest.join(_small(verified), F.col("own").contains(F.col("v")) | F.col("v").contains(F.col("own")), "left_semi")
-    passed = equal.unionByName(inside).select("candidate").distinct().withColumn("passed", F.lit(True))
+    # One holds the other: equality with one of its substrings.
+    parts = rest.select("candidate", F.explode(substrings(F.col("own"))).alias("v")).join(verified, "v", "left_semi").select("candidate")
+    whole = rest.join(verified.select(F.explode(substrings(F.col("v"))).alias("own")).distinct(), "own", "left_semi").select("candidate")
+    inside = parts.unionByName(whole)
+    passed = equal.select("candidate").unionByName(inside).distinct().withColumn("passed", F.lit(True))
     status = (
         F.when(F.col("bucket") == "accept", "LLM Verified Brand").when(F.col("bucket") == "reject", short if strict else "Rejected by Embedding (Generic)")
         .when(F.col("passed"), "LLM Verified Brand").otherwise(short if strict else "Rejected by LLM (Generic/Region)")

@@ -97,3 +97,70 @@ def test_pages(spark):
     assert {(r["value"], r["source"]) for r in found.where("page_id = 1").collect()} == {("Acme", "label_inline"), ("Bolt", "label_sibling"), ("Json", "json_brand"), ("Name", "json_brand_name"), ("Meta", "meta_brand")}
     got = {r["page_id"]: (r["ResultStatus"], r["ResultNote"]) for r in pages.picked(rows, pages.scored(found, rows)).collect()}
     assert got == {1: ("success", ""), 2: ("invalid_url", "unsupported domain"), 3: ("invalid_url", "empty url"), 4: ("not_found", "no candidate")}
+
+
+def test_the_judge_is_asked_once_for_each_name(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def judge(names):
+        asked.add(len(names))
+        return {n for n in names if n.endswith("7")}
+
+    found = spark.createDataFrame([(f"name {k}", "ambiguous") for k in range(40)], "candidate string, bucket string")
+    got = brands.validated(found, judge).collect()
+    assert asked.value == 40
+    assert sum(r["status"] == "LLM Verified Brand" for r in got) == 7  # 1, 2 and 3 are within 17, 27 and 37
+
+
+def test_containment_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    names = list({"".join(rng.choices("ab c", k=rng.randrange(1, 7))).strip() or "x" for _ in range(60)})
+    verified = {n for n in names if len(n) == 3}
+    got = {r["candidate"]: r["status"] for r in brands.validated(spark.createDataFrame([(n, "ambiguous") for n in names], "candidate string, bucket string"), lambda batch: {n for n in batch if len(n) == 3}).collect()}
+    bare = lambda n: n.replace(" ", "")
+    want = {n: any(bare(v) in bare(n) or bare(n) in bare(v) for v in verified) for n in names}
+    assert {n: s == "LLM Verified Brand" for n, s in got.items()} == want
+
+
+def test_best_of_against_all(spark):
+    import random
+
+    from brandtide.functions.match import best_of
+
+    rng = random.Random(4)
+    for _ in range(100):
+        names = [("".join(rng.choices("abc", k=rng.randrange(1, 4))), "".join(rng.choices("abcd", k=rng.randrange(0, 12)))) for _ in range(20)]
+        word = "".join(rng.choices("abcd", k=rng.randrange(0, 12)))
+        by = {}
+        for n, s in names:
+            by.setdefault(len(s), []).append((n, s))
+        top = max(indel_ratio(word, s) for _, s in names)
+        assert best_of(word, by) == (top, min(n for n, s in names if indel_ratio(word, s) == top) if top else None)
+
+
+def test_lists_of_masters(spark, monkeypatch):
+    masters = spark.createDataFrame([(f"Brand{k}xyz",) for k in range(30)] + [("Skintific",)], "Brand string")
+    names = spark.createDataFrame([("brando7xyzq",), ("skintifficc",), ("wholly other",)], "candidate string")
+    rows = [sorted(map(tuple, brands.matched(names, masters).collect()))]
+    monkeypatch.setattr(brands, "LIST_ROWS", 4)
+    rows.append(sorted(map(tuple, brands.matched(names, masters).collect())))
+    assert rows[0] == rows[1] and len(rows[0]) == 3
+
+
+def test_titles_are_cleaned_once(spark):
+    rows = spark.createDataFrame([("1", "acme tool", 1.0, 1)], "ItemId string, ListingName string, DailySalesValue double, ord int")
+    for frame in (brands.simple_ngrams(rows), brands.vocabulary(rows)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") == 2
+
+
+def test_pages_with_several_scripts_and_forms(spark):
+    html = """<div><span>Brand</span><span></span><i> Sib </i></div><p><b>Merk</b> - <i>Inl</i></p>
+      <script>var a = {"brand": "One"};</script><script type="application/ld+json">{"Brand": {"logo": "x", "name": "Ld"}, "brand": "Two"}</script>
+      <script>x = '<p>Brand: Script</p>'</script><META CONTENT='Meta A' NAME='Brand'><meta property="og:brand" content="Meta B"><meta name="author" content="Nobody">"""
+    rows = spark.createDataFrame([(1, "https://shopee.x/1", html, "", "")], "page_id int, url string, html string, ListingName string, Brand string")
+    assert {(r["value"], r["source"]) for r in pages.candidates(rows).collect()} == {
+        ("Inl", "label_inline"), ("Sib", "label_sibling"), ("One", "json_brand"), ("Two", "json_brand"), ("Ld", "structured_brand"), ("Meta A", "meta_brand"), ("Meta B", "meta_brand")
+    }
