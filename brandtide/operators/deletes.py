@@ -18,6 +18,7 @@ def chunks(rows: DataFrame, size: int = 500) -> DataFrame:
 
 def statements(rows: DataFrame, table: str, size: int = 500) -> DataFrame:
     """One reviewable DELETE for each chunk, quotes doubled."""
+    # Fixed values below: the wording of the statement and its comments.
     quoted = lambda c: F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
     day = F.col("spike_date").cast("string")
     mark = F.when(F.col("n_chunks") > 1, F.format_string(" (chunk %d/%d)", "chunk", "n_chunks")).otherwise("")
@@ -31,6 +32,15 @@ def statements(rows: DataFrame, table: str, size: int = 500) -> DataFrame:
     return chunks(rows, size).select(*GROUP, "chunk", text.alias("statement"))
 
 
+def asked(rows: DataFrame) -> DataFrame:
+    """What an analyst sees before a group is decided: ordinal, group, its item count, GMV and items, largest GMV first."""
+    item = rows.groupBy(*GROUP, "ItemId").agg(F.sum("gmv_jt").alias("gmv"))
+    rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy(F.desc("gmv"), "ItemId"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "ItemId"))), lambda x: x["ItemId"])  # a delete names them all
+    groups = item.withColumn("rank", rank).groupBy(*GROUP).agg(F.count("*").alias("item_count"), F.round(F.sum("gmv"), 3).alias("gmv_jt"), listed.alias("items"))
+    return groups.withColumn("ordinal", F.row_number().over(Window.orderBy("Channel", "L3Title", "spike_date", "win_from", "win_to")))  # a row for each question
+
+
 def decided(rows: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows whose group is answered y before the first q; ``decisions``: Channel, L3Title, spike_date, ordinal, answer."""
     order = Window.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)  # a row for each question that was asked

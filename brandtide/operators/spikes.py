@@ -14,14 +14,24 @@ from pyspark.sql import functions as F
 from brandtide.params import RangeParams, SpikeParams
 from brandtide.sources.sales import coerced
 
+# The labels.
 LABELS = {"a": "STALE_FROZEN_DAILY", "b": "NEW_ITEM_UNIFORM_COUNT", "c": "CUMULATIVE_SALESCOUNT", "d": "SPIKE_JUMP", "f": "GHOST_REAPPEARANCE", "g": "BRAND_NEW_SPIKE"}
 
 
-def with_last_seen(fact: DataFrame) -> DataFrame:
-    """As-of, strictly before: an item's previous day in its channel and the last known total, over the whole table."""
+def with_last_seen(fact: DataFrame, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """As-of, strictly before: an item's previous day in its channel and the last known total, over the whole table.
+
+    With ``since`` and ``until`` only rows of those days come out: all before is folded into one row for each item first.
+    """
     before = Window.partitionBy("Channel", "ItemId").orderBy("day_no").rangeBetween(Window.unboundedPreceding, -1)
     known = F.when(F.col("TotalInt").isNotNull(), F.struct("day_no", "TotalInt"))
-    return fact.withColumn("day_no", F.unix_date("ScrapDate")).withColumn("last_seen", F.max("ScrapDate").over(before)).withColumn("last_count", F.max(known).over(before)["TotalInt"])
+    rows = fact.withColumn("day_no", F.unix_date("ScrapDate"))
+    recent = rows if since is None else rows.where(F.col("ScrapDate").between(since, until))
+    recent = recent.withColumn("last_seen", F.max("ScrapDate").over(before)).withColumn("last_count", F.max(known).over(before)["TotalInt"])
+    if since is None:
+        return recent
+    past = rows.where(F.col("ScrapDate") < since).groupBy("Channel", "ItemId").agg(F.max("ScrapDate").alias("past_seen"), F.max(known)["TotalInt"].alias("past_count"))
+    return recent.join(past, ["Channel", "ItemId"], "left").withColumns({"last_seen": F.coalesce("last_seen", "past_seen"), "last_count": F.coalesce("last_count", "past_count")}).drop("past_seen", "past_count")
 
 
 def in_range(fact: DataFrame, p: SpikeParams) -> DataFrame:
@@ -51,7 +61,11 @@ def with_flags(fact: DataFrame, p: SpikeParams, only: Column | None = None) -> D
 
     Rows that ``only`` leaves out serve as what an item was last seen by, and for nothing else.
     """
-    rows = with_last_seen(coerced(fact))
+    rows = coerced(fact)
+    if p.enable_ghost:
+        rows = with_last_seen(rows, F.date_sub(F.lit(p.period_from), p.radius), F.date_add(F.lit(p.period_to), p.radius))
+    else:  # no rule that counts looks back
+        rows = rows.withColumns({"day_no": F.unix_date("ScrapDate"), "last_seen": F.lit(None).cast("date"), "last_count": F.lit(None).cast("bigint")})
     rows = in_range(rows if only is None else rows.where(only), p)
     item = Window.partitionBy("Channel", "L3Title", "ItemId")
     around, earlier, later = (item.orderBy("day_no").rangeBetween(*x) for x in ((-p.radius, p.radius), (-p.radius, -1), (1, p.radius)))
@@ -152,6 +166,47 @@ def range_preview(fact: DataFrame, p: RangeParams, deduplicated: bool = False) -
     )
 
 
+# Columns of the report's two tables, and the names under which they are exported.
+DETAIL = "spike_date Channel L3Title KeywordCategory Brand spike_flag ItemId ShopName ListingName SalePrice DailySalesCount gmv_jt daily_to_total_ratio gap_days win_from win_to".split()
+DETAIL_NAMES = {"spike_date": "Spike Date", "spike_flag": "Flag", "gmv_jt": "GMV (jt)", "daily_to_total_ratio": "Daily/Total Ratio", "gap_days": "Gap Hari (F)", "win_from": "Window From", "win_to": "Window To"}
+SUMMARY_NAMES = {"spike_date": "Spike Date", "spike_flag": "Flag", "item_count": "Jumlah Item", "gmv_jt": "GMV Terdampak (jt)"}
+
+
+def exported(rows: DataFrame) -> DataFrame:
+    """The detail under its export names; columns that are missing are left out."""
+    return rows.select([F.col(c).alias(DETAIL_NAMES.get(c, c)) for c in DETAIL if c in rows.columns])
+
+
+def summary_lines(rows: DataFrame) -> DataFrame:
+    """Channel, L3Title, line_no, line: the summary as text, a heading for each group; ``rows`` is a summary."""
+    width = lambda c, n: F.lpad(c, n, " ")
+    body = F.format_string("  %-14s  %-26s  %s  %s", F.col("spike_date").cast("string"), "spike_flag", width(F.col("item_count").cast("string"), 6), width(F.format_number("gmv_jt", 3), 12))
+    keys = ["Channel", "L3Title"]
+    lines = rows.select(*keys, (F.row_number().over(Window.partitionBy(*keys).orderBy("spike_date", "spike_flag")) + 1).alias("line_no"), body.alias("line"))
+    titles = F.format_string("  %-14s  %-26s  %6s  %12s", *map(F.lit, ("Date", "Flag", "Items", "GMV (jt)")))
+    heading = lambda n, text: F.struct(F.lit(n).alias("line_no"), text.alias("line"))
+    heads = rows.select(*keys).distinct().select(*keys, F.explode(F.array(heading(0, F.concat_ws("  ›  ", *keys)), heading(1, titles))).alias("x")).select(*keys, "x.*")
+    return heads.unionByName(lines)
+
+
+def total_line(rows: DataFrame) -> DataFrame:
+    """The totals as one line of text."""
+    t = totals(rows)
+    return t.select(F.concat(F.lit("TOTAL Flagged Items: "), F.format_number("items", 0), F.lit("  |  Total GMV Terdampak: "), F.format_number(F.coalesce("gmv_jt", F.lit(0.0)), 3), F.lit(" jt")).alias("line"))
+
+
+def item_history(fact: DataFrame) -> DataFrame:
+    """ItemId, first_seen, days, kinds (of daily counts), most, gmv over the whole table."""
+    return fact.groupBy("ItemId").agg(
+        F.min("ScrapDate").alias("first_seen"), F.count_distinct("ScrapDate").alias("days"), F.count_distinct("DailySalesCount").alias("kinds"), F.max("DailySalesCount").alias("most"), F.round(F.sum("DailySalesValue"), 2).alias("gmv")
+    )
+
+
+def top_items(fact: DataFrame, n: int = 10) -> DataFrame:
+    """The items of the largest GMV, ties by id."""
+    return fact.groupBy("ItemId").agg(F.round(F.sum("DailySalesValue"), 2).alias("gmv")).orderBy(F.desc("gmv"), "ItemId").limit(n)
+
+
 def survivors(fact: DataFrame, flagged: DataFrame, keys: list[str], applies: Column | None = None) -> DataFrame:
     """The table without the rows that a DELETE of ``flagged`` keys removes (of rows for which ``applies`` holds)."""
     if applies is None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Column names and types of the fact table.
 FACT = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("ItemId",)]
     + [T.StructField("ScrapDate", T.DateType())]

@@ -1,6 +1,7 @@
 """Rules of the detectors on hand-made facts, boundaries included, and against a plain loop."""
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -143,3 +144,13 @@ def test_stages_sources_and_filters(spark, tmp_path):
 def test_empty_fact(spark):
     empty = facts(spark, [])
     assert spikes.labelled(empty, P).count() == 0 and spikes.summary(spikes.labelled(empty, P)).count() == 0
+
+
+def test_history_before_the_range_is_folded(spark):
+    rows = [row("x", D0 - timedelta(P.radius + d), 5, 1000 + d) for d in range(1, 40)] + [row("x", D0 - timedelta(3), 0, "null"), row("x", D0, 7, 2000), row("y", D0, 1, 5)]
+    fact = coerced(facts(spark, rows))
+    keys = ["ItemId", "ScrapDate", "last_seen", "last_count"]
+    whole = {tuple(r) for r in spikes.with_last_seen(fact).select(*keys).collect() if r["ScrapDate"] >= D0 - timedelta(P.radius)}
+    folded = spikes.with_last_seen(fact, F.lit(D0 - timedelta(P.radius)), F.lit(D0)).select(*keys)
+    assert {tuple(r) for r in folded.collect()} == whole and len(whole) == 3
+    assert spikes.with_flags(facts(spark, rows), replace(P, enable_ghost=False)).where("flag_f").count() == 0
