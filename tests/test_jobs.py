@@ -18,7 +18,14 @@ def test_spike_job(spark, tmp_path):
     text = "".join(open(f).read() for f in glob.glob(f"{tmp_path}/delete_sql/part-*"))
     assert "ItemId IN ('a')" in text and "Lazada" not in text
     assert {r["ItemId"] for r in spark.read.parquet(f"{tmp_path}/survivors").collect()} == {"b", "c"}
-    assert spark.read.csv(f"{tmp_path}/summary", header=True).first()["item_count"] == "1"
+    summary = spark.read.csv(f"{tmp_path}/summary", header=True).first()
+    assert summary["Jumlah Item"] == "1" and summary["Flag"] == "CUMULATIVE_SALESCOUNT"
+    assert {"Spike Date", "GMV (jt)", "Window From"} <= set(spark.read.csv(f"{tmp_path}/detail", header=True).columns)
+    lines = "".join(open(f).read() for f in glob.glob(f"{tmp_path}/summary_text/part-*")).splitlines()
+    assert lines[0] == "Shopee  ›  Soap" and lines[1].split() == ["Date", "Flag", "Items", "GMV", "(jt)"] and "CUMULATIVE_SALESCOUNT" in lines[2]
+    asked = spark.read.json(f"{tmp_path}/questions").first()
+    assert (asked["ordinal"], asked["item_count"], asked["items"]) == (1, 1, ["a"])
+    assert {(r["step"], r["rows"]) for r in spark.read.json(f"{tmp_path}/log").collect()} == {("report", 1), ("delete", 1)}
 
 
 def test_filtered_job_sees_items_under_other_categories(spark, tmp_path):
@@ -83,3 +90,42 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["gmv"] for r in spark.sql("SELECT gmv FROM totals_rows").collect()) == [1.0, 5.0]
+
+
+def test_total_line(spark):
+    from brandtide.operators import spikes
+
+    rows = spark.createDataFrame([("a", 1234.5), ("b", 1.0), ("a", 0.25)], "ItemId string, gmv_jt double")
+    assert spikes.total_line(rows).first()["line"] == "TOTAL Flagged Items: 2  |  Total GMV Terdampak: 1,235.750 jt"
+    assert spikes.total_line(rows.where("false")).first()["line"].startswith("TOTAL Flagged Items: 0")
+
+
+def test_names_near_master_brands_skip_the_judge(spark, tmp_path):
+    sales = spark.createDataFrame([("x", "No Brand"), ("y", "Maxpresso")], "ItemId string, Brand string")
+    listings = spark.createDataFrame([(str(k), t, 5.0, k) for k, t in enumerate(["acmeron mild", "acmeron dark", "genericus mild", "genericus dark", "middlingo one", "middlingo two"])], "ItemId string, ListingName string, DailySalesValue double, ord int")
+
+    def encode(names):  # brands to the right, generic words up
+        x = F.when(F.col("name").rlike("(?i)acmeron|maxpresso"), 1.0).when(F.col("name").rlike("(?i)middlingo"), 0.7).otherwise(0.0)
+        y = F.when(F.col("name").rlike("(?i)acmeron|maxpresso"), 0.0).when(F.col("name").rlike("(?i)middlingo"), 0.7).otherwise(1.0)
+        assert names.where("sentence <> 'produk dengan merek ' || name").isEmpty()
+        return names.select("name", F.array(x, y).alias("embedding"))
+
+    got = {r["candidate"]: r["status"] for r in jobs.brand_job(sales, listings, str(tmp_path), BrandParams(max_df=1.0), lambda names: {n for n in names if "Middlingo" in n}, encode).collect()}
+    assert got["Acmeron"] == "LLM Verified Brand" and got["Genericus"] == "Rejected by Embedding (Generic)" and got["Middlingo"] == "LLM Verified Brand"
+
+
+def test_pages_that_fail_are_errors_after_three_tries(spark, tmp_path):
+    asked = spark.sparkContext.accumulator(0)
+
+    def fetch(url):
+        asked.add(1)
+        if "bad" in url:
+            raise TimeoutError("45 s")
+        return "<p>Brand: Acme</p>"
+
+    rows = spark.createDataFrame([(1, "https://shopee.x/1", None, "", ""), (2, "https://shopee.x/bad", None, "", ""), (3, "", None, "", "")], "page_id long, url string, html string, ListingName string, Brand string")
+    got = {r["page_id"]: (r["ResultStatus"], r["BrandName"], r["ResultNote"]) for r in jobs.page_job(rows, str(tmp_path), 100, fetch=fetch).collect()}
+    assert got == {1: ("success", "Acme", ""), 2: ("error", "", "TimeoutError: 45 s"), 3: ("invalid_url", "", "empty url")}
+    assert asked.value == 4
+    again = jobs.page_job(rows, str(tmp_path), 100, fetch=lambda url: "<p>Merk: Bolt</p>").collect()
+    assert sorted((r["page_id"], r["BrandName"]) for r in again if r["ResultStatus"] == "success") == [(1, "Acme"), (2, "Bolt")]
