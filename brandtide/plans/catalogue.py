@@ -6,6 +6,7 @@ The tables have no sales facts, so facts come from ``events`` and titles from ``
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +19,8 @@ from brandtide.sources.sales import coerced, listings_from_documents, sales_from
 
 SPIKES = SpikeParams(period_from=date(2024, 1, 16), period_to=date(2024, 1, 30), radius=7, iqr_mult=1.0, ghost_min_gap_days=7, include_stale=True, min_gmv=0.05)
 RANGE = RangeParams(detection_from=date(2024, 1, 10), detection_to=date(2024, 1, 24), target_from=date(2024, 1, 17), target_to=date(2024, 1, 18), channel="click", jump_mult=5)
+#: The first days of the events, in which some items are new.
+EARLY = replace(SPIKES, period_from=date(2024, 1, 2), period_to=date(2024, 1, 4), radius=1)
 BRANDS = BrandParams(max_df=0.05)
 
 
@@ -29,10 +32,10 @@ def _listings(spark, sf_dir):
     return listings_from_documents(spark, sf_dir)
 
 
-def _flag(letter: str):
+def _flag(letter: str, p: SpikeParams = SPIKES):
     def query(spark, sf_dir):
-        rows = spikes.with_flags(sales_from_events(spark, sf_dir), SPIKES)
-        return rows.where(F.col(f"flag_{letter}") & F.col("ScrapDate").between(F.lit(SPIKES.period_from), F.lit(SPIKES.period_to))).select("ItemId", "Channel", "ScrapDate")
+        rows = spikes.with_flags(sales_from_events(spark, sf_dir), p)
+        return rows.where(F.col(f"flag_{letter}") & F.col("ScrapDate").between(F.lit(p.period_from), F.lit(p.period_to))).select("ItemId", "Channel", "ScrapDate")
 
     return query
 
@@ -51,8 +54,16 @@ def spike_labels(spark, sf_dir):
 
 
 def delete_statements(spark, sf_dir):
-    rows = deletes.chunks(_labelled(spark, sf_dir), 20)
-    return rows.select("Channel", "L3Title", "spike_date", "chunk", F.array_join("items", ",").alias("ids"))
+    return deletes.statements(_labelled(spark, sf_dir), "sales", 20)
+
+
+def delete_questions(spark, sf_dir):
+    rows = deletes.asked(_labelled(spark, sf_dir))
+    return rows.select("ordinal", "Channel", "L3Title", "spike_date", "item_count", "gmv_jt", F.array_join("items", ",").alias("ids"))
+
+
+def report_detail(spark, sf_dir):
+    return spikes.exported(_labelled(spark, sf_dir)).drop("GMV (jt)").withColumn("Gap Hari (F)", F.col("Gap Hari (F)").cast("double"))
 
 
 def delete_decisions(spark, sf_dir):
@@ -87,13 +98,18 @@ def iqr_candidate_dates(spark, sf_dir):
     return spikes.iqr_dates(rows, SPIKES).withColumn("upper", F.round("upper", 2))
 
 
+def _lineitem_fact(spark, sf_dir):
+    """Parts as items, lines as sales."""
+    line = _read(spark, sf_dir, "lineitem")
+    return line.select(F.col("l_partkey").alias("ItemId"), F.to_date("l_shipdate").alias("ScrapDate"), F.col("l_quantity").alias("DailySalesCount"), F.col("l_extendedprice").alias("DailySalesValue"))
+
+
 def item_history(spark, sf_dir):
-    lines = _read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
-    return lines.groupBy("l_partkey").agg(F.to_date(F.min("l_shipdate")).alias("first_seen"), F.count_distinct(F.to_date("l_shipdate")).alias("days"), F.count_distinct("l_quantity").alias("kinds"), F.max("l_quantity").alias("most"), F.round(F.sum("l_extendedprice"), 2).alias("gmv"))
+    return spikes.item_history(_lineitem_fact(spark, sf_dir)).withColumnRenamed("ItemId", "l_partkey")
 
 
 def topk_gmv(spark, sf_dir):
-    return item_history(spark, sf_dir).select("l_partkey", "gmv").orderBy(F.desc("gmv"), "l_partkey").limit(10)
+    return spikes.top_items(_lineitem_fact(spark, sf_dir)).withColumnRenamed("ItemId", "l_partkey")
 
 
 def clean_text(spark, sf_dir):
@@ -118,8 +134,10 @@ def rule_first_match(spark, sf_dir):
 
 
 def chunk_assignment(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
-    return _read(spark, sf_dir, "part").select("p_partkey", "p_brand", F.ceil(n / 20).cast("int").alias("chunk"))
+    part = _read(spark, sf_dir, "part")
+    day = F.lit(SPIKES.period_from)
+    rows = part.select(F.col("p_brand").alias("Channel"), F.lit("").alias("L3Title"), day.alias("spike_date"), day.alias("win_from"), day.alias("win_to"), F.col("p_partkey").alias("ItemId"), (-F.col("p_partkey")).alias("gmv_jt"))
+    return deletes.chunks(rows, 20).select(F.explode("items").alias("p_partkey"), F.col("Channel").alias("p_brand"), "chunk")
 
 
 def centroid_bucket(spark, sf_dir):
@@ -133,9 +151,17 @@ def delta_stats(spark, sf_dir):
 
 
 def _page_rows(spark, sf_dir):
+    """Pages with markup of every kind that candidates come from."""
     p = _read(spark, sf_dir, "pages")
-    label = F.concat(F.lit("<p>Brand: "), F.element_at(F.split("url", "[/.]"), 3), F.lit('</p><script>{"brand":"Acme '), (F.col("page_id") % 7).cast("string"), F.lit('"}</script>'))
-    return p.select("page_id", F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("https://shopee.example/"), "page_id")).when(F.col("page_id") % 5 == 1, "").otherwise(F.concat("url", F.lit("?tiktok"))).alias("url"), F.when(F.col("page_id") % 4 == 0, F.col("html")).otherwise(F.concat("html", label)).alias("html"), F.concat(F.lit("Acme "), (F.col("page_id") % 3).cast("string"), F.lit(" premium")).alias("ListingName"), F.lit("").alias("Brand"))
+    k = lambda n: (F.col("page_id") % n).cast("string")
+    markup = F.concat(
+        F.lit("<p><b>Brand</b>: "), F.element_at(F.split("url", "[/.]"), 3), F.lit("</p><dl><dt>Merek</dt><dd></dd><dd>Sib "), k(5),
+        F.lit('</dd></dl><script>{"brand":"Acme '), k(7), F.lit('"}</script><script type="x">{"BRAND_name" : "Bnd '), k(4), F.lit('", "item_brand": "Itm '), k(9),
+        F.lit('", "brand": {"logo": "u", "name": "Str '), k(6), F.lit("\"}}</script><meta content='Met "), k(8), F.lit("' property=\"og:Brand\"><meta name=author content=nobody>"),
+    )
+    url = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("https://shopee.example/"), "page_id")).when(F.col("page_id") % 5 == 1, "").otherwise(F.concat("url", F.lit("?tiktok")))
+    html = F.when(F.col("page_id") % 4 == 0, F.col("html")).otherwise(F.concat("html", markup))
+    return p.select("page_id", url.alias("url"), html.alias("html"), F.concat(F.lit("Acme "), k(3), F.lit(" premium")).alias("ListingName"), F.lit("").alias("Brand"))
 
 
 def page_score(spark, sf_dir):
@@ -164,20 +190,42 @@ def llm_validate(spark, sf_dir):
     return brands.validated(found, lambda names: {n for n in names if len(n) % 2})
 
 
+def brand_exact(spark, sf_dir):
+    part = _read(spark, sf_dir, "part")
+    masters = part.select(text.title_case("p_name").alias("Brand")).distinct()
+    names = part.select(F.explode(F.array(F.upper("p_name"), F.substring("p_name", 1, 4), F.concat(F.lit("q"), "p_type"))).alias("candidate")).distinct()
+    found = brands.matched(names, masters, BRANDS)
+    return found.where("status = 'Short Candidate (To LLM)' or lower(candidate) = lower(suggested)")
+
+
+def judge_containment(spark, sf_dir):
+    names = _read(spark, sf_dir, "part").select(F.explode(F.array("p_name", F.element_at(F.split("p_name", " "), 1), F.concat_ws(" ", "p_brand", "p_name"), "p_type")).alias("candidate")).distinct()
+    n = F.length("candidate")
+    found = names.withColumn("bucket", F.when(n % 5 == 0, "accept").when(n % 5 == 1, "reject").otherwise("ambiguous"))
+    return brands.validated(found, lambda batch: {x for x in batch if len(x) % 5 == 3})
+
+
+def judge_batches(spark, sf_dir):
+    names = _read(spark, sf_dir, "part").groupBy("p_brand").agg(F.sort_array(F.collect_set("p_type")).alias("names"))
+    return names.select("p_brand", text.json_list(F.col("names")).alias("batch"), text.sentence(F.col("p_brand")).alias("sentence"))
+
+
 QUERIES = {
     "flag_stale_frozen": _flag("a"),
     "flag_new_uniform": _flag("b"),
     "flag_cumulative": _flag("c"),
     "flag_spike_jump": _flag("d"),
     "ghost_reappearance": ghost_reappearance,
-    "brand_new_spike": _flag("g"),
+    "brand_new_spike": _flag("g", EARLY),
     "iqr_candidate_dates": iqr_candidate_dates,
     "spike_labels": spike_labels,
     "spike_summary": lambda s, d: spikes.summary(_labelled(s, d)),
     "spike_totals": lambda s, d: spikes.totals(_labelled(s, d)),
     "min_gmv_filter": lambda s, d: spikes.above_min_gmv(_labelled(s, d), SPIKES).select("ItemId", "Channel", "spike_date", "gmv_jt"),
     "delete_statements": delete_statements,
+    "delete_questions": delete_questions,
     "delete_decisions": delete_decisions,
+    "report_detail": report_detail,
     "delete_survivors": delete_survivors,
     "sql_variant_preview": lambda s, d: spikes.range_preview(sales_from_events(s, d), RANGE),
     "sql_variant_survivors": range_survivors,
@@ -202,6 +250,9 @@ QUERIES = {
     "status_counts": status_counts,
     "brand_match": _matched,
     "llm_validate": llm_validate,
+    "brand_exact": brand_exact,
+    "judge_containment": judge_containment,
+    "judge_batches": judge_batches,
 }
 
 SALES = """sales AS (
@@ -282,6 +333,8 @@ PAIRS = "list_concat({0}, list_transform(range(1, len({0})), lambda i: {0}[i] ||
 VOCAB = f"""v AS (SELECT ngram, count(*) AS df FROM (
   SELECT unnest(list_distinct({PAIRS.format('k')})) AS ngram FROM (SELECT list_filter(w, lambda x: regexp_full_match(x, '[a-z]{{3,}}') AND x NOT IN {_quoted(text.VOCABULARY_STOPWORDS)}) AS k FROM titles)
 ) GROUP BY ngram HAVING count(*) >= 2 AND count(*) <= 0.05 * (SELECT count(*) FROM documents))"""
+#: The same for ``EARLY``.
+EARLY_FLAGS = FLAGS.replace("2024-01-16", "2024-01-02").replace("2024-01-30", "2024-01-04").replace("- 7", "- 1").replace("+ 7", "+ 1")
 _period = lambda letter: f"{FLAGS} SELECT ItemId, Channel, ScrapDate FROM period WHERE {letter}"
 
 BUCKETS = """WITH x AS (SELECT vec_id, label, unnest(range(1, 65)) AS pos, unnest(embedding) AS x FROM embeddings), c AS (SELECT pos, avg(CAST(x AS DOUBLE)) FILTER (WHERE label < 3) AS yes, avg(CAST(x AS DOUBLE)) FILTER (WHERE label >= 3) AS no FROM x GROUP BY pos
@@ -292,8 +345,11 @@ PAGES = r"""WITH p AS (
          CASE WHEN page_id % 4 = 0 THEN NULL ELSE regexp_split_to_array(url, '[/.]')[3] END AS label, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'Acme ' || CAST(page_id % 7 AS VARCHAR) END AS js,
          regexp_extract(html, '(?is)<title[^>]*>([^<]+)</title>', 1) AS title, 'acme ' || CAST(page_id % 3 AS VARCHAR) || ' premium' AS ln FROM pages
 ), c AS (
-  SELECT page_id, label AS v, 'label_inline' AS source, 1 AS ord, 0.82 AS base FROM p WHERE label <> '' UNION ALL SELECT page_id, js, 'json_brand', 2, 0.88 FROM p WHERE js IS NOT NULL
-  UNION ALL SELECT page_id, title, 'title_hint', 3, 0.35 FROM p WHERE title <> ''
+  SELECT page_id, label AS v, 'label_inline' AS source, 1 AS ord, 0.82 AS base FROM p WHERE label <> '' UNION ALL SELECT page_id, js, 'json_brand', 3, 0.88 FROM p WHERE js IS NOT NULL
+  UNION ALL SELECT page_id, 'Sib ' || page_id % 5, 'label_sibling', 2, 0.78 FROM p WHERE js IS NOT NULL UNION ALL SELECT page_id, 'Bnd ' || page_id % 4, 'json_brand_name', 4, 0.86 FROM p WHERE js IS NOT NULL
+  UNION ALL SELECT page_id, 'Itm ' || page_id % 9, 'json_item_brand', 5, 0.84 FROM p WHERE js IS NOT NULL UNION ALL SELECT page_id, 'Str ' || page_id % 6, 'structured_brand', 6, 0.90 FROM p WHERE js IS NOT NULL
+  UNION ALL SELECT page_id, 'Met ' || page_id % 8, 'meta_brand', 7, 0.80 FROM p WHERE js IS NOT NULL
+  UNION ALL SELECT page_id, title, 'title_hint', 8, 0.35 FROM p WHERE title <> ''
 ), n AS (
   SELECT c.page_id, source, ord, base, ln, trim(regexp_replace(v, '[\s\x{a0}]+', ' ', 'g')) AS value,
          trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(v, '[\s\x{a0}]+', ' ', 'g'))), '[^a-z0-9&\-.\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm FROM c JOIN p USING (page_id)
@@ -318,13 +374,23 @@ ORACLE = {
     "flag_cumulative": _period("c"),
     "flag_spike_jump": _period("d"),
     "ghost_reappearance": f"{FLAGS} SELECT ItemId, Channel, ScrapDate, CAST(gap AS INTEGER) AS gap_days FROM period WHERE f",
-    "brand_new_spike": _period("g"),
+    "brand_new_spike": f"{EARLY_FLAGS} SELECT ItemId, Channel, ScrapDate FROM flags WHERE g AND ScrapDate BETWEEN DATE '2024-01-02' AND DATE '2024-01-04'",
     "iqr_candidate_dates": f"{FLAGS} SELECT Channel, L3Title, ScrapDate, day_gmv, round(upper, 2) AS upper FROM iqr",
     "spike_labels": f"{FLAGS} SELECT * REPLACE (CAST(gap_days AS DOUBLE) AS gap_days) FROM marked",
     "spike_summary": f"{FLAGS} SELECT Channel, L3Title, spike_date, spike_flag, count(DISTINCT ItemId) AS item_count, round(sum(gmv_jt), 3) AS gmv_jt FROM marked GROUP BY ALL",
     "spike_totals": f"{FLAGS} SELECT count(DISTINCT ItemId) AS items, round(sum(gmv_jt), 3) AS gmv_jt, count(*) AS n_rows FROM marked",
     "min_gmv_filter": f"{FLAGS} SELECT ItemId, Channel, spike_date, gmv_jt FROM marked WHERE gmv_jt >= 0.05",
-    "delete_statements": f"{FLAGS}, r AS (SELECT *, row_number() OVER (PARTITION BY Channel, L3Title, spike_date ORDER BY gmv_jt DESC, ItemId) AS k FROM marked) SELECT Channel, L3Title, spike_date, CAST(ceil(k / 20) AS INTEGER) AS chunk, string_agg(ItemId, ',' ORDER BY k) AS ids FROM r GROUP BY ALL",
+    "delete_statements": f"""{FLAGS}, r AS (SELECT *, row_number() OVER (PARTITION BY Channel, L3Title, spike_date ORDER BY gmv_jt DESC, ItemId) AS k FROM marked),
+      c AS (SELECT Channel, L3Title, spike_date, win_from, win_to, CAST(ceil(k / 20) AS INTEGER) AS chunk, string_agg('''' || ItemId || '''', ', ' ORDER BY k) AS ids, count(*) AS n FROM r GROUP BY ALL),
+      d AS (SELECT *, max(chunk) OVER (PARTITION BY Channel, L3Title, spike_date) AS n_chunks, CAST(spike_date AS VARCHAR) AS day FROM c)
+      SELECT Channel, L3Title, spike_date, win_from, win_to, chunk,
+        '-- [' || Channel || '] × [' || L3Title || '] | Spike: ' || day || ' | Window: ' || CAST(win_from AS VARCHAR) || '~' || CAST(win_to AS VARCHAR) || CASE WHEN n_chunks > 1 THEN ' (chunk ' || chunk || '/' || n_chunks || ')' ELSE '' END
+        || chr(10) || '-- Items terdampak: ' || n || ' (sorted by GMV desc)' || chr(10) || 'ALTER TABLE sales' || chr(10) || 'DELETE WHERE' || chr(10) || '    Channel   = ''' || Channel || '''' || chr(10)
+        || '    AND ScrapDate BETWEEN ''' || day || ''' AND ''' || day || '''' || chr(10) || '    AND DailySalesValue > 0' || chr(10) || '    AND L3Title = ''' || L3Title || '''' || chr(10) || '    AND ItemId IN (' || ids || ');' AS statement FROM d""",
+    "delete_questions": f"""{FLAGS}, i AS (SELECT Channel, L3Title, spike_date, ItemId, sum(gmv_jt) AS g FROM marked GROUP BY ALL)
+      SELECT CAST(row_number() OVER (ORDER BY Channel, L3Title, spike_date) AS INTEGER) AS ordinal, Channel, L3Title, spike_date, count(*) AS item_count, round(sum(g), 3) AS gmv_jt, string_agg(ItemId, ',' ORDER BY g DESC, ItemId) AS ids FROM i GROUP BY Channel, L3Title, spike_date""",
+    "report_detail": f"""{FLAGS}, n AS (SELECT m.*, f.ShopName, f.ListingName, f.Brand, f.SalePrice, f.DailySalesCount FROM marked m JOIN fact f ON f.ItemId = m.ItemId AND f.Channel = m.Channel AND f.ScrapDate = m.spike_date)
+      SELECT spike_date AS "Spike Date", Channel, L3Title, '' AS KeywordCategory, Brand, spike_flag AS Flag, ItemId, ShopName, ListingName, SalePrice, DailySalesCount, daily_to_total_ratio AS "Daily/Total Ratio", CAST(gap_days AS DOUBLE) AS "Gap Hari (F)", win_from AS "Window From", win_to AS "Window To" FROM n""",
     "delete_decisions": f"{FLAGS}, q AS (SELECT Channel, L3Title, spike_date, row_number() OVER (ORDER BY Channel, L3Title, spike_date) AS k FROM (SELECT DISTINCT Channel, L3Title, spike_date FROM marked)) SELECT ItemId, Channel, L3Title, spike_date FROM marked JOIN q USING (Channel, L3Title, spike_date) WHERE k < 15 AND k % 2 = 1",
     "delete_survivors": f"{FLAGS} SELECT ItemId, Channel, ScrapDate FROM fact x WHERE NOT (DailySalesValue > 0 AND EXISTS (SELECT 1 FROM marked m WHERE m.ItemId = x.ItemId AND m.Channel = x.Channel AND m.L3Title = x.L3Title AND m.spike_date = x.ScrapDate))",
     "sql_variant_preview": f"""{RANGED} SELECT e.ScrapDate, e.ItemId, e.L3Title, e.Channel, e.ShopName, e.ListingName, e.SalePrice, e.SalesCount, round(e.DailySalesCount, 0) AS daily_count, round(e.DailySalesValue / 1e6, 3) AS gmv_jt,
@@ -354,5 +420,14 @@ ORACLE = {
     "delta_stats": f"SELECT bucket, count(*) AS n, min(delta) AS least, max(delta) AS most, round(avg(delta), 4) AS mean FROM ({BUCKETS}) GROUP BY bucket",
     "page_score": PAGES + "SELECT page_id, value, source, confidence FROM s WHERE value <> ''",
     "page_pick": PICK + "SELECT page_id, CASE WHEN ResultStatus = 'success' THEN value ELSE '' END AS BrandName, CASE WHEN ResultStatus IN ('success', 'low_confidence') THEN confidence ELSE 0 END AS BrandConfidence, CASE WHEN ResultStatus IN ('success', 'low_confidence') THEN source ELSE '' END AS BrandSource, ResultStatus, CASE WHEN url = '' THEN 'empty url' WHEN ResultStatus = 'invalid_url' THEN 'unsupported domain' WHEN ResultStatus = 'not_found' THEN 'no candidate' WHEN ResultStatus = 'low_confidence' THEN value ELSE '' END AS ResultNote FROM r",
+    "brand_exact": """WITH m AS (SELECT lower(p_name) AS low, min(array_to_string(list_transform(regexp_extract_all(p_name, '[a-zA-Z]+|[^a-zA-Z]+'), lambda x: upper(x[1]) || lower(x[2:])), '')) AS master FROM part GROUP BY ALL),
+      c AS (SELECT DISTINCT unnest([upper(p_name), p_name[1:4], 'q' || p_type]) AS candidate FROM part)
+      SELECT candidate, CASE WHEN master IS NOT NULL THEN 'Existing Brand' ELSE 'Short Candidate (To LLM)' END AS status, coalesce(master, '') AS suggested, CASE WHEN master IS NOT NULL THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END AS score
+      FROM c LEFT JOIN m ON lower(candidate) = low WHERE master IS NOT NULL OR length(regexp_replace(lower(candidate), '[^a-z0-9]', '', 'g')) < 5""",
+    "judge_containment": """WITH c AS (SELECT DISTINCT unnest([p_name, string_split(p_name, ' ')[1], p_brand || ' ' || p_name, p_type]) AS candidate FROM part),
+      n AS (SELECT candidate, length(candidate) % 5 AS k, regexp_replace(lower(candidate), '[^a-z0-9]', '', 'g') AS s FROM c), v AS (SELECT DISTINCT s AS v FROM n WHERE k = 3)
+      SELECT candidate, CASE k WHEN 0 THEN 'accept' WHEN 1 THEN 'reject' ELSE 'ambiguous' END AS bucket,
+        CASE WHEN k = 0 THEN 'LLM Verified Brand' WHEN k = 1 THEN 'Rejected by Embedding (Generic)' WHEN EXISTS (SELECT 1 FROM v WHERE contains(s, v) OR contains(v, s)) THEN 'LLM Verified Brand' ELSE 'Rejected by LLM (Generic/Region)' END AS status FROM n""",
+    "judge_batches": """SELECT p_brand, CAST(to_json(list_sort(list(DISTINCT p_type))) AS VARCHAR) AS batch, 'produk dengan merek ' || p_brand AS sentence FROM part GROUP BY p_brand""",
     "status_counts": PICK + "SELECT ResultStatus, count(*) AS n FROM r GROUP BY ResultStatus",
 }
