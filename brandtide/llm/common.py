@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts can be long: hand Python workers fewer rows at a time."""
+    """Whole texts can be long: hand Python workers fewer rows and bytes at a time (for the rest of the session)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def word_count(text: Column) -> Column:
@@ -84,11 +86,38 @@ class Powers:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)], dtype=np.uint64)])
         return (sums[width:] - sums[:n]) * self.down[:n]
 
-    def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Polynomial hash of values[start:end] for each pair."""
-        self.grow(len(values) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)], dtype=np.uint64)])
-        return (sums[ends] - sums[starts]) * self.down[starts]
+
+#: Of each block of eight bytes, the first 0 to 8.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes from which on a run is hashed by BLAKE2b.
+LONG_RUN = 64
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end].
+
+    Blocks of eight bytes are mixed with their place before they are added up, so that no arrangement of letters
+    makes sums agree as it does for polynomials modulo 2**64; runs of at most eight bytes and equal length never
+    collide. Longer runs than ``LONG_RUN`` get a keyed BLAKE2b hash.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # eight bytes from each place on
+    sizes = ends - starts
+    salt = mix64(np.uint64(seed) + np.arange(LONG_RUN // 8 + 2, dtype=np.uint64))
+    out = mix64((blocks[starts] & _MASKS[np.minimum(sizes, 8)]) ^ salt[0])
+    more = np.flatnonzero((sizes > 8) & (sizes <= LONG_RUN))
+    for k in range(1, LONG_RUN // 8):
+        if not len(more):
+            break
+        out[more] += mix64((blocks[starts[more] + 8 * k] & _MASKS[np.minimum(sizes[more] - 8 * k, 8)]) ^ salt[k])
+        more = more[sizes[more] > 8 * (k + 1)]
+    out = mix64(out + sizes.astype(np.uint64) * salt[-1])
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(sizes > LONG_RUN).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
 
 
 def bounds(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,13 +136,12 @@ def bounds(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray, powers: Powers, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, seed: int, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words between ASCII white space: 64-bit hashes, byte starts and ends, and the first word of each row (rows + 1 entries)."""
     starts, ends = bounds(~((data == 32) | ((data >= 9) & (data <= 13))), offsets)
     if lower:
         data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
-    hashes = mix64(powers.runs(data.astype(np.uint64) + np.uint64(1), starts, ends)) if len(starts) else np.zeros(0, np.uint64)
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    return run_hashes(data, starts, ends, seed), starts, ends, np.searchsorted(starts, offsets)
 
 
 class HashIndex:

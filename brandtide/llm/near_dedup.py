@@ -34,7 +34,7 @@ from brandtide.llm.graph import components
 from brandtide.runtime import staged
 
 SHINGLE, COORDINATES, TREES, LEAF, DEPTH, BLOCK = 5, 96, 22, 48, 4, 1024
-WORD_BASE, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
+WORD_SEED, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
 #: A pair may reach the threshold if this share of its minwise values agree.
 MAY = 0.5
 #: From so many pairs for each document on, sets go once to each cell of pairs instead of along with each pair.
@@ -53,9 +53,9 @@ def missed(similarity: float, level: int) -> float:
     return total
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, word_powers: Powers, powers: Powers, width: int = SHINGLE):
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, powers: Powers, width: int = SHINGLE):
     """The sorted set of shingle hashes of each row."""
-    hashes, _, _, first = words(data, offsets, word_powers, lower=True)
+    hashes, _, _, first = words(data, offsets, WORD_SEED, lower=True)
     grams = mix64(powers.windows(hashes, width))
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= width:
@@ -81,12 +81,12 @@ def minwise(values: np.ndarray, flips: np.ndarray, factors: np.ndarray) -> np.nd
 
 
 def sketches(batches):
-    word_powers, powers, (flips, factors) = Powers(WORD_BASE), Powers(SHINGLE_BASE), _minwise()
+    powers, (flips, factors) = Powers(SHINGLE_BASE), _minwise()
     for b in batches:
         ids, n, d1, d2, sigs = [], [], [], [], []
         for some, data, offs in text_slices(b["doc_id"], b["text"]):
             ids += some
-            for s in shingle_sets(data, offs, word_powers, powers):
+            for s in shingle_sets(data, offs, powers):
                 n.append(len(s))
                 d1.append(s.sum(dtype=np.uint64))
                 d2.append(mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
@@ -150,12 +150,12 @@ def leaf_pairs(batches):
 
 
 def full_sets(batches):
-    word_powers, powers = Powers(WORD_BASE), Powers(SHINGLE_BASE)
+    powers = Powers(SHINGLE_BASE)
     for b in batches:
         ids, sets = [], []
         for some, data, offs in text_slices(b["doc_id"], b["text"]):
             ids += some
-            sets += [s.tobytes() for s in shingle_sets(data, offs, word_powers, powers)]
+            sets += [s.tobytes() for s in shingle_sets(data, offs, powers)]
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brandtide.llm.common import Powers, mix64, small_batches, table
+from brandtide.llm.common import run_hashes, small_batches, table
 from brandtide.llm.ranges import with_range
 from brandtide.runtime import new_path, staged
 
@@ -34,6 +34,7 @@ END = 2
 #: Distinct pieces that a task keeps at most before it starts anew.
 PIECES = 400_000
 KNOWN = 0x3000
+SEED = 0x6C8E9CF570932BD5
 # The code points that are white space to the pattern.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -51,25 +52,38 @@ class Pieces:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.powers = Tokenizer.from_file(path), Powers(0x6C8E9CF570932BD5)
+        self.tokenizer = Tokenizer.from_file(path)
         self.split = Tokenizer.from_file(path)  # for texts that are split already
         self.split.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.kinds = np.array([kind_of(c) for c in range(KNOWN)], np.uint8)
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.flat, self.used = {}, np.zeros(1 << 16, np.uint32), 0
-
-    def add(self, keys: list[int], pieces: list[str]) -> None:
-        found = self.split.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        lengths = np.bincount(np.array(found.word_ids), minlength=len(pieces))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        starts = self.used + np.cumsum(lengths) - lengths
-        self.known.update(zip(keys, zip(starts.tolist(), lengths.tolist())))
-        self.used += len(ids)
+        """Forget all pieces: keys in ascending order, where the ids of each begin, how many, and all ids."""
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Positions of known keys, -1 for others."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, at, -1) if len(self.keys) else np.full(len(keys), -1)
+
+    def add(self, keys: np.ndarray, pieces: list[str]) -> None:
+        begin, size = [self.begin], [self.size]
+        for some in range(0, len(pieces), 20_000):
+            part = pieces[some : some + 20_000]
+            found = self.split.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids, lengths = np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids), minlength=len(part))
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            begin.append(self.used + np.cumsum(lengths) - lengths)
+            size.append(lengths)
+            self.used += len(ids)
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.begin, self.size = keys[order], np.concatenate(begin)[order], np.concatenate(size)[order]
 
     def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
@@ -94,17 +108,18 @@ class Pieces:
         start[at[codes[at] == 32] + 1] = False
         starts = np.flatnonzero(start)
         ends = np.append(starts[1:], len(codes))
-        hashes = mix64(self.powers.runs(codes.astype(np.uint64) + np.uint64(1), starts, ends))
+        top = int(codes.max())
+        width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4  # bytes that tell each character
+        hashes = run_hashes(codes.astype(f"<u{width}").view(np.uint8), width * starts, width * ends, SEED + width)
         keys, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > PIECES:
+        if len(self.keys) > PIECES:
             self.clear()
-        key_list, known = keys.tolist(), self.known
-        new = [i for i, k in enumerate(key_list) if k not in known]
-        for some in range(0, len(new), 20_000):
-            part = new[some : some + 20_000]
-            self.add([key_list[i] for i in part], [joined[starts[first[i]] : ends[first[i]]] for i in part])
-        where = np.array([known[k] for k in key_list], np.int64)
-        begin, lengths = where[back, 0], where[back, 1]
+        new = np.flatnonzero(self.find(keys) < 0)
+        if len(new):
+            at = first[new]
+            self.add(keys[new], [joined[x:y] for x, y in zip(starts[at].tolist(), ends[at].tolist())])
+        where = self.find(keys)[back]
+        begin, lengths = self.begin[where], self.size[where]
         stops = np.cumsum(lengths)
         ids = self.flat[np.repeat(begin - (stops - lengths), lengths) + np.arange(stops[-1])]
         owner = np.searchsorted(text_starts, starts, "right") - 1

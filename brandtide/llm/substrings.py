@@ -10,7 +10,7 @@ share costs an entry for each chunk, not for each document. A third pass cuts th
 than to keep them, and applies the answers; a checksum of each chunk guards against an input that changed meanwhile.
 
 With more text than the largest sketch is made for, more windows pass for repeated and the second pass grows; results
-stay the same. The chance that any two of 10**13 different windows agree in 96 bits is below 0.001.
+stay the same. Two different windows agree in 96 bits with chance 2**-96, or 2**-64 if they differ in one word alone.
 
 Defined results: null and empty texts have no words; windows never cross documents; a window repeated only within a
 document stays; rows that repeat an id are judged apart, and neither counts as smaller; a row with a null id keeps all
@@ -37,7 +37,7 @@ CELLS_EACH, CELLS = 4, 1 << 29
 SLICE = 1 << 22
 #: Windows that a partition gathers before it sends them on.
 GATHER, CHUNK = 3_000_000, 1_000_000
-WORD_BASE, FIRST_BASE, SECOND_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
+WORD_SEED, FIRST_BASE, SECOND_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 #: Bytes of removal ranges that may be broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -74,11 +74,11 @@ class Windows:
     """Window hashes of rows of text."""
 
     def __init__(self, width: int = WINDOW):
-        self.width, self.word, self.first, self.second = width, Powers(WORD_BASE), Powers(FIRST_BASE), Powers(SECOND_BASE)
+        self.width, self.first, self.second = width, Powers(FIRST_BASE), Powers(SECOND_BASE)
 
     def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word hashes and each row's first word; window hashes, each window's row and its first word within the row."""
-        hashes, _, _, first = words(data, offsets, self.word)
+        hashes, _, _, first = words(data, offsets, WORD_SEED)
         counts = np.maximum(0, np.diff(first) - self.width + 1)
         row = np.repeat(np.arange(len(counts)), counts)
         inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)

@@ -30,21 +30,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandtide.llm.common import HashIndex, Powers, bounds, mix64, small_batches, table, text_slices, with_small
+from brandtide.llm.common import HashIndex, bounds, mix64, run_hashes, small_batches, table, text_slices, with_small
 from brandtide.runtime import staged
 
 ROWS_PER_CLASS, CURVE_ROWS, DISCOUNT = 8000, 16000, 4.0
 #: Entries of each broadcast table at most; with more, rarer pairs and words count as seen once.
 ENTRIES = 2_000_000
-WORD_BASE, PAIR = 0x5DEECE66D1CE4E5B, np.uint64(0x9E3779B97F4A7C15)
+WORD_SEED, PAIR = 0x5DEECE66D1CE4E5B, np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of some rows, and the first word of each row (rows + 1 entries)."""
     low = data | np.uint8(32)
     starts, ends = bounds(((low >= 97) & (low <= 122)) | (data >= 128), offsets)
-    folded = np.where(data < 128, low, data).astype(np.uint64)
-    hashes = mix64(powers.runs(folded, starts, ends)) if len(starts) else np.zeros(0, np.uint64)
+    hashes = run_hashes(np.where(data < 128, low, data), starts, ends, WORD_SEED)
     return hashes, np.searchsorted(starts, offsets)
 
 
@@ -67,10 +66,9 @@ def _pairs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def count_triples(batches):
-    powers = Powers(WORD_BASE)
     for b in batches:
         for cls, data, offs in text_slices(b["toxic"], b["text"], 1 << 22):
-            hashes, first = tokens(data, offs, powers)
+            hashes, first = tokens(data, offs)
             if not len(hashes):
                 continue
             at, pair = _pairs(hashes, first)
@@ -106,10 +104,10 @@ def corpus_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches):
-        powers, index, sums = Powers(WORD_BASE), HashIndex(shared.value), np.zeros(len(shared.value), np.int64)
+        index, sums = HashIndex(shared.value), np.zeros(len(shared.value), np.int64)
         for b in batches:
             for _, data, offs in text_slices(b["doc_id"], b["text"]):
-                at = index.find(tokens(data, offs, powers)[0])
+                at = index.find(tokens(data, offs)[0])
                 sums += np.bincount(at[at >= 0], minlength=len(sums))
         used = np.flatnonzero(sums)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["word", "n"])
@@ -155,12 +153,11 @@ class Model:
 
     def scorer(self):
         """A function from (bytes, offsets) to each row's mean difference."""
-        powers = Powers(WORD_BASE)
         words, contexts, pairs = HashIndex(self.words), HashIndex(self.contexts), HashIndex(self.pairs)
         take = lambda delta, at, other: np.where(at >= 0, delta[at], other) if len(delta) else np.full(len(at), other)
 
         def score(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-            hashes, first = tokens(data, offsets, powers)
+            hashes, first = tokens(data, offsets)
             value = take(self.word_delta, words.find(hashes), self.unseen)
             before = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]]) if len(hashes) else hashes
             before[first[:-1][first[:-1] < len(hashes)]] = 0
