@@ -3,7 +3,8 @@
 Texts are lower-cased, everything but letters becomes one space, and the 1-, 2- and 3-grams of what results are
 hashed into buckets. Counts by language come from at most about ``ROWS_PER_LANGUAGE`` labelled rows of each
 language (chosen by a hash of the id; the documented bound of the fit); the log-probability matrix, of a fixed
-size, is broadcast. Scoring gathers the matrix rows of a batch's n-grams and sums them by document in numpy.
+size, is broadcast. Scoring gathers the matrix rows of a batch's n-grams and sums them by document in numpy. All
+languages are equally likely beforehand: how many rows are labelled says nothing about a text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if there is no
 labelled row; equal scores go to the first language by code point; a null language is no label; more than
@@ -19,52 +20,74 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandtide.llm.common import SLICE_BYTES, mix64, small_batches, table, text_slices
+from brandtide.llm.common import mix64, small_batches, table, text_slices
 
 ROWS_PER_LANGUAGE, LANGUAGES = 5000, 4096
 BUCKETS, ORDERS, ALPHA = 1 << 16, (1, 2, 3), 0.1
 #: The matrix has at most so many cells; with very many languages there are fewer buckets.
 CELLS = 1 << 25
 KNOWN = 0x3000
+#: A text of more bytes goes through in pieces of so many characters.
+LONG = 2 << 20
 
 
 def letters() -> np.ndarray:
     return np.array([chr(i).isalpha() for i in range(KNOWN)])
 
 
-def grams(texts: list[str], known: np.ndarray, buckets: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Buckets and row of each n-gram, by order, and which rows have a letter."""
-    low = [t.lower() for t in texts]
-    codes = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum([len(t) + 1 for t in low])
+def _letters_of(low: str, known: np.ndarray, after: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of lower-cased text with all but letters as blanks, and which of them count: letters, and the first
+    other character after a letter; ``after``: whether a letter stands before the text."""
+    codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
     alpha = known[np.minimum(codes, KNOWN - 1)]
     if len(high := np.flatnonzero(codes >= KNOWN)):
         kinds, which = np.unique(codes[high], return_inverse=True)
         alpha[high] = np.array([chr(c).isalpha() for c in kinds])[which]
     keep = alpha.copy()
-    keep[1:] |= alpha[:-1]  # a letter, or the first other character after one
-    rows = np.searchsorted(ends, np.flatnonzero(keep), "right")
-    codes = np.where(alpha, codes, 32)[keep].astype(np.uint64)
+    keep[1:] |= alpha[:-1]
+    keep[:1] |= after
+    return np.where(alpha, codes, 32).astype(np.uint64), keep
+
+
+def _hashed(codes: np.ndarray, n: int, buckets: int) -> np.ndarray:
+    h = np.full(max(0, len(codes) - n + 1), n, np.uint64)
+    for k in range(n):
+        h = h * np.uint64(0x100000001B3) + codes[k : k + len(h)]
+    return (mix64(h) & np.uint64(buckets - 1)).astype(np.int64)
+
+
+def grams(texts: list[str], known: np.ndarray, buckets: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Buckets and row of each n-gram, by order, and which rows have a letter."""
+    low = [t.lower() for t in texts]
+    codes, keep = _letters_of("".join(t + "\n" for t in low), known, False)
+    rows = np.searchsorted(np.cumsum([len(t) + 1 for t in low]), np.flatnonzero(keep), "right")
+    codes = codes[keep]
     has = np.zeros(len(texts), bool)
     has[rows[codes != 32]] = True
     hashed, owner = [], []
     for n in ORDERS:
-        m = len(codes) - n + 1
-        if m <= 0:
-            hashed.append(np.zeros(0, np.int64))
-            owner.append(np.zeros(0, np.int64))
-            continue
-        h = np.full(m, n, np.uint64)
-        for k in range(n):
-            h = h * np.uint64(0x100000001B3) + codes[k : k + m]
-        whole = rows[:m] == rows[n - 1 : n - 1 + m]
+        h = _hashed(codes, n, buckets)
+        whole = rows[: len(h)] == rows[n - 1 : n - 1 + len(h)]
         if n == 1:
             whole &= codes != 32
-        hashed.append((mix64(h[whole]) & np.uint64(buckets - 1)).astype(np.int64))
-        owner.append(rows[:m][whole])
+        hashed.append(h[whole])
+        owner.append(rows[: len(h)][whole])
     return hashed, owner, has
 
 
+def grams_of_one(text: str, known: np.ndarray, buckets: int, size: int):
+    """What ``grams`` gives for one text, by pieces of ``size`` characters; each carries the last characters over."""
+    low, after, carry = text.lower() + "\n", False, np.zeros(0, np.uint64)
+    for i in range(0, len(low), size):
+        codes, keep = _letters_of(low[i : i + size], known, after)
+        after = bool(codes[-1] != 32)
+        codes = codes[keep]
+        joined = np.concatenate([carry, codes])
+        hashed = [_hashed(joined[max(0, len(carry) - n + 1) :] if n > 1 else codes[codes != 32], n, buckets) for n in ORDERS]
+        yield hashed, [np.zeros(len(h), np.int64) for h in hashed], np.array([bool((codes != 32).any())])
+        carry = joined[len(joined) - min(len(joined), max(ORDERS) - 1) :]
+
+
 def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages and their matrix (buckets x languages, float32) from rows with doc_id, text and lang."""
     labelled = labelled.where("lang is not null")
@@ -78,9 +101,9 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> tupl
     if not langs:
         return [], np.zeros((BUCKETS, 0), np.float32)
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 31))
-    least = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(min(1.0, rows_per_language / sizes[k]) * (1 << 31))))])
-    index = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))])
-    chosen = labelled.where(place < least[F.col("lang")]).select(index[F.col("lang")].alias("lang_index"), "text").repartition(24)
+    # A row for each language, at most LANGUAGES.
+    wanted = labelled.sparkSession.createDataFrame([(k, i, int(min(1.0, rows_per_language / sizes[k]) * (1 << 31))) for i, k in enumerate(langs)], "lang string, lang_index int, least long")
+    chosen = labelled.join(F.broadcast(wanted), "lang").where(place < F.col("least")).select("lang_index", "text").repartition(24)
     n_langs = len(langs)
 
     def count(batches):
@@ -115,12 +138,8 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, held_out: Colum
                 raw = data.tobytes()
                 texts = [raw[x:y].decode() for x, y in zip(offs[:-1], offs[1:])]
                 sums, has = np.zeros((len(texts), max(1, len(langs)))), np.zeros(len(texts), bool)
-                if len(texts) > 1 or len(raw) <= 2 * SLICE_BYTES:
-                    parts = [texts]
-                else:  # one long text goes through in pieces, without the two n-grams across each join
-                    parts = [[texts[0][i : i + SLICE_BYTES]] for i in range(0, len(texts[0]), SLICE_BYTES)]
-                for some in parts:
-                    hashed, owner, any_ = grams(some, known, len(logs))
+                long = len(texts) == 1 and len(raw) > LONG
+                for hashed, owner, any_ in grams_of_one(texts[0], known, len(logs), LONG) if long else [grams(texts, known, len(logs))]:
                     has |= any_
                     if langs:
                         for h, o in zip(hashed, owner):
