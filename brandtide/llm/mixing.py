@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brandtide.llm.common import table, with_small, word_count
-from brandtide.runtime import staged
+from brandtide.runtime import scratch, staged
 
 DIGITS, LEVELS = 3, 4
 
@@ -86,14 +86,18 @@ def _copies() -> Column:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, size, source_size, target, taken (see the module's text)."""
-    slim = staged(slim_of(docs), "mix-sizes")
-    thresholds, n = plan(slim)
+    with scratch(docs.sparkSession) as keep:
+        slim = keep(staged(slim_of(docs), "mix-sizes"))
+        thresholds, n = plan(slim)
+        keep(thresholds)
     return with_small(slim, thresholds, "key", "left", n).select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    thresholds, n = plan(staged(slim_of(docs), "mix-sizes"))
+    with scratch(docs.sparkSession) as keep:
+        thresholds, n = plan(staged(slim_of(docs), "mix-sizes"))
+        keep(thresholds)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(F.col("source").cast("string")).alias("key"), _line(F.col("doc_id")).alias("line"), word_count(F.col("text")).alias("size"))
     taken = with_small(keyed, thresholds, "key", "left", n).withColumn("copies", F.when(F.col("size") > 0, _copies()).otherwise(0))
     return taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
