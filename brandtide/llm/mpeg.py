@@ -227,7 +227,8 @@ def feature(x: dict) -> str:
     table_ = x["vbr"] or {}
     return (
         f"v{x['version']}l{x['layer']} rate={x['rate']} frames={x['n_frames']} samples={x['n_samples']} kbit={rates} vbr={table_.get('kind')}:{table_.get('frames')}:{table_.get('bytes')} "
-        f"crc={x['crc_checked'] - x['crc_bad']}/{x['crc_checked']} junk={x['junk_bytes']} resyncs={x['resyncs']} seek={zlib.crc32(x['offsets'].astype('<i8').tobytes()):08x}"
+        f"crc={x['crc_checked'] - x['crc_bad']}/{x['crc_checked']} junk={x['junk_bytes']} resyncs={x['resyncs']} seek={zlib.crc32(x['offsets'].astype('<i8').tobytes()):08x} "
+        f"payload={zlib.crc32(x['payload']):08x}"
     )
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -90,3 +91,23 @@ def test_crc16_by_bits():
             top = crc >> 15 ^ byte >> bit & 1
             crc = (crc << 1 & 0xFFFF) ^ (0x8005 if top else 0)
     assert int(mpeg.crc16(data[None])[0]) == crc
+
+
+@pytest.mark.parametrize("size", [576, 1152, 5760])
+def test_payloads_that_look_like_tags_or_frames(size):
+    rng = random.Random(size)
+    plain = bytes(rng.choices(b"abcdef \n", k=size))
+    frame = mpeg.HEADS[mpeg.TOP].tobytes()
+    marks = [b"TAG", b"APETAGEX" + (40).to_bytes(4, "little") * 2, b"ID3\3\0\0\0\0\0\x10", b"Xing\0\0\0\7", frame[:6], frame, b"\xff" * 40]
+    for mark in marks:
+        for at in range(0, size - len(mark) + 1, 1 if size < 1000 else 13):
+            payload = plain[:at] + mark + plain[at + len(mark) :]
+            found = mpeg.read(mpeg.write(payload))
+            assert found["payload"] == payload and found["stored_bytes"] == size and not found["resyncs"], (mark, at)
+    both = plain[: size - 160] + b"APETAGEX" + bytes(24) + b"TAG" + plain[-125:]
+    assert mpeg.read(mpeg.write(both))["payload"] == both
+
+
+def test_feature_tells_texts_of_one_length_apart():
+    a, b = (mpeg.feature(mpeg.read(mpeg.write(x * 576))) for x in (b"a", b"b"))
+    assert a != b
