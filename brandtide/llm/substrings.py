@@ -12,6 +12,8 @@ than to keep them, and applies the answers; a checksum of each chunk guards agai
 With more text than the largest sketch is made for, more windows pass for repeated and the second pass grows; results
 stay the same. Two different windows agree in 96 bits with chance 2**-96, or 2**-64 if they differ in one word alone.
 
+The input is read three times and must have the same partitions each time, as a table of files has; write others first.
+
 Defined results: null and empty texts have no words; windows never cross documents; a window repeated only within a
 document stays; rows that repeat an id are judged apart, and neither counts as smaller; a row with a null id keeps all
 its words and is no reason to remove others'; equal texts keep their words under the smallest id.
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brandtide.llm.common import BROADCAST_ROWS, Powers, mix64, small_batches, table, text_slices, words
-from brandtide.runtime import staged
+from brandtide.runtime import scratch, staged
 
 WINDOW, ROWS = 13, 2
 #: Counters of the sketch by window of the corpus, at most; their flags take an eighth of that in bytes.
@@ -37,6 +39,8 @@ CELLS_EACH, CELLS = 4, 1 << 29
 SLICE = 1 << 22
 #: Windows that a partition gathers before it sends them on.
 GATHER, CHUNK = 3_000_000, 1_000_000
+#: Windows of the corpus for each bucket of the second pass, at most half as many on average if all of them pass.
+BUCKET = 1 << 21
 WORD_SEED, FIRST_BASE, SECOND_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 #: Bytes of removal ranges that may be broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -166,13 +170,13 @@ def asked(width: int, bits: int, window: int, flags, kind: int):
             u1, u2 = k1[order][starts], k2[order][starts]
             at, check = partition << 24 | number, zlib.crc32(u2.tobytes(), zlib.crc32(least.tobytes()))
             if kind == 0:
-                cuts = np.append(np.searchsorted(u1 >> np.uint64(low), np.arange(1 << bits, dtype=np.uint64)), len(u1))
-                used = [i for i in range(1 << bits) if cuts[i + 1] > cuts[i]]
+                used, cuts = np.unique(u1 >> np.uint64(low), return_index=True)
+                used, cuts = used.astype(np.int64), np.append(cuts, len(u1))
                 short = np.ascontiguousarray(u1.view(np.uint8).reshape(-1, 8)[:, :n_bytes])
                 part = lambda x, i: x[cuts[i] : cuts[i + 1]].tobytes()
                 n = len(used)
                 yield pa.record_batch(
-                    [pa.array([0] * n, pa.int32()), pa.array([at] * n, pa.int64()), pa.array([check] * n, pa.int64()), pa.array(used, pa.int32()), pa.array([int(cuts[i + 1] - cuts[i]) for i in used], pa.int64()), pa.array([part(short, i) + part(u2, i) for i in used], pa.binary()), pa.array([pack(least[cuts[i] : cuts[i + 1]]) for i in used], pa.binary()), *[pa.nulls(n, pa.binary())] * 2],
+                    [pa.array([0] * n, pa.int32()), pa.array([at] * n, pa.int64()), pa.array([check] * n, pa.int64()), pa.array(used), pa.array(np.diff(cuts)), pa.array([part(short, i) + part(u2, i) for i in range(n)], pa.binary()), pa.array([pack(least[cuts[i] : cuts[i + 1]]) for i in range(n)], pa.binary()), *[pa.nulls(n, pa.binary())] * 2],
                     names=ASKED,
                 )
                 return
@@ -183,7 +187,7 @@ def asked(width: int, bits: int, window: int, flags, kind: int):
             fp = np.array([docs[i][1] for i in keep], np.int64)
             steps = np.concatenate([np.diff(index, prepend=0), np.diff(inside, prepend=0)]).astype(np.int32)
             yield pa.record_batch(
-                [pa.array([1], pa.int32()), pa.array([at]), pa.array([check], pa.int64()), pa.array([-1], pa.int32()), pa.array([len(row)]), pa.array([np.concatenate([ids[keep], fp]).tobytes()], pa.binary()), pa.array([pack(steps)], pa.binary()), pa.array([pack(which)], pa.binary()), pa.array([mine.tobytes()], pa.binary())],
+                [pa.array([1], pa.int32()), pa.array([at]), pa.array([check], pa.int64()), pa.array([-1], pa.int64()), pa.array([len(row)]), pa.array([np.concatenate([ids[keep], fp]).tobytes()], pa.binary()), pa.array([pack(steps)], pa.binary()), pa.array([pack(which)], pa.binary()), pa.array([mine.tobytes()], pa.binary())],
                 names=ASKED,
             )
 
@@ -213,7 +217,7 @@ def asked(width: int, bits: int, window: int, flags, kind: int):
 
 
 ASKED = ["kind", "chunk", "check", "bucket", "n", "keys", "ids", "which", "mine"]
-ASKED_TYPE = "kind int, chunk long, check long, bucket int, n long, keys binary, ids binary, which binary, mine binary"
+ASKED_TYPE = "kind int, chunk long, check long, bucket long, n long, keys binary, ids binary, which binary, mine binary"
 
 
 def answerer(bits: int):
@@ -274,7 +278,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         own = np.frombuffer(r["flags"], np.uint8)[: width // 8 - start]
         table_[r["row"], start : start + len(own)] = own
     flags = spark.sparkContext.broadcast(table_)
-    bits = max(4, min(16, (windows >> 21).bit_length()))
+    bits = max(4, (windows // BUCKET).bit_length())
     chunks = lambda kind: docs.select("doc_id", "text", "fp").mapInArrow(asked(width, bits, window, flags, kind), ASKED_TYPE)
     answers = staged(chunks(0).groupBy("bucket").applyInArrow(answerer(bits), ASKED_TYPE), "window-answers")
     # Not a union, in which partitions have other numbers.
@@ -303,7 +307,8 @@ CUT = "doc_id long, fp long, n_words long, n_removed long, kept_sha256 string, k
 
 def with_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (doc_id, text, fp and whatever else) with starts and ends."""
-    ranges = removals(docs.select("doc_id", "text", "fp"), window)
+    with scratch(docs.sparkSession) as keep:
+        ranges = keep(removals(docs.select("doc_id", "text", "fp"), window))
     rows, size = ranges.agg(F.count("*"), F.sum(48 + 8 * F.size("starts"))).first()
     small = rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
     return docs.join(F.broadcast(ranges) if small else ranges, ["doc_id", "fp"], "left")
