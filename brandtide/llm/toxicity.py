@@ -5,22 +5,26 @@ Two word-bigram models, of toxic and of ordinary rows, share the counts that the
     P_c(w | v) = max(c(v, w) - D, 0) / c(v) + left_c(v) P_c(w)
     P_c(w)     = max(N(. w) - D, 0) / N(..) + left_c P_shared(w)
 
-with N the number of different words before w within the class, c that of different words before the pair, and
-P_shared from how often w stands in all texts of the corpus, labelled or not. So neither what a text repeats nor a
-passage that some texts share counts more than once. The discount D is four plus what the other class explains: 1.5 times its count o, scaled to the same
-total, and twice the root of that. So expressions that are rare, or that both
-classes have alike (a language, a subject), go to the shared counts whole, and a class keeps of its own what the
-other does not show. Both models learn from as many rows. A text's value is the mean over its words of the difference
+with N the number of different words before w within the class (continuation counts), c that of different words before
+the pair, and P_shared the relative frequency of w in all texts of the corpus, labelled or not: a lowest level of plain
+frequencies below the two Kneser-Ney levels. So neither what a text repeats nor a passage that some texts share counts
+more than once; an expression that always has the same words before it counts once as well, and is missed.
+
+The discount D is of this module's own making, in place of one absolute discount: four plus what the other class
+explains, 1.5 times its count o, scaled to the same total, and twice the root of that. So expressions that are rare, or
+that both classes have alike (a language, a subject), go to the shared counts whole, and a class keeps of its own what
+the other does not show. Both models learn from as many rows. A text's value is the mean over its words of the difference
 of both log-likelihoods; a logistic curve fitted to labelled rows kept out of the models turns it into a score.
 
 Words are runs of ASCII letters (lower-cased) and bytes above 127. The models are fitted on at most about
 ``ROWS_PER_CLASS`` rows of each class and the curve on ``CURVE_ROWS`` (chosen by a hash of the id): the
-documented bounds of the fit, which also bound what is broadcast. Counts of the corpus cover every text.
+documented bounds of the fit. What is broadcast are the pairs, contexts and words in which a class has an excess, five
+different contexts at least, in those rows: all of them. Counts of the corpus cover every text.
 
 Defined results: a null or empty text has the value of words that neither class shows, and the score of the curve there; without labels of both
 classes every score is the share of toxic labels (0 without any); a null label is none; labels that repeat an id
-count once, by the largest. ``without_toxic`` never rejects a row of a null id, and rejects all rows of an id that
-has one toxic text.
+count once, by the largest. ``without_toxic`` never rejects a row of a null id, rejects all rows of an id that
+has one toxic text, and rejects nothing without labels of both classes.
 """
 
 from __future__ import annotations
@@ -31,11 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandtide.llm.common import HashIndex, bounds, mix64, run_hashes, small_batches, table, text_slices, with_small
-from brandtide.runtime import staged
+from brandtide.runtime import scratch, staged
 
 ROWS_PER_CLASS, CURVE_ROWS, DISCOUNT = 8000, 16000, 4.0
-#: Entries of each broadcast table at most; with more, rarer pairs and words count as seen once.
-ENTRIES = 2_000_000
 WORD_SEED, PAIR = 0x5DEECE66D1CE4E5B, np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,65 +93,59 @@ def _columns(df: DataFrame) -> list[np.ndarray]:
     return [c.to_numpy() for c in df.toArrow().columns]
 
 
-def _bounded(df: DataFrame, count: str) -> DataFrame:
-    """Rows that count at least 2, or the least count that leaves ENTRIES rows."""
-    least = 2
-    while df.where(F.col(count) >= least).count() > ENTRIES:
-        least *= 2
-    return df.where(F.col(count) >= least)
-
-
-def corpus_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
-    """How often each word of the vocabulary stands in all texts."""
+def corpus_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+    """How often each word of the vocabulary stands in all texts, and the number of all words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches):
-        index, sums = HashIndex(shared.value), np.zeros(len(shared.value), np.int64)
+        index, sums = HashIndex(shared.value), np.zeros(len(shared.value) + 1, np.int64)  # any other word counts last
         for b in batches:
             for _, data, offs in text_slices(b["doc_id"], b["text"]):
                 at = index.find(tokens(data, offs)[0])
-                sums += np.bincount(at[at >= 0], minlength=len(sums))
+                sums += np.bincount(np.where(at >= 0, at, len(sums) - 1), minlength=len(sums))
         used = np.flatnonzero(sums)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["word", "n"])
 
     at, n = _columns(docs.select("doc_id", "text").mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n")))
-    out = np.zeros(len(vocabulary), np.int64)
+    out = np.zeros(len(vocabulary) + 1, np.int64)
     out[at] = n
-    return out
+    return out[:-1], int(out.sum())
 
 
 class Model:
     """Differences of log-probabilities (toxic less ordinary) by pair, context and word."""
 
     def __init__(self, docs: DataFrame, labelled: DataFrame):
-        pairs = staged(labelled.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(count_triples, "u long, v long, w long, t boolean, n boolean").groupBy("u", "v", "w").agg(F.max("t").alias("t"), F.max("n").alias("n")).groupBy("v", "w").agg(F.count_if("t").alias("t"), F.count_if("n").alias("n")), "toxic-pairs")
-        both, kinds = F.col("t") + F.col("n"), lambda c: F.count(F.when(F.col(c) > 0, 1))
+        triples = labelled.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(count_triples, "u long, v long, w long, t boolean, n boolean")
+        triples = triples.groupBy("u", "v", "w").agg(F.max("t").alias("t"), F.max("n").alias("n"))
+        pairs = staged(triples.groupBy("v", "w").agg(F.count_if("t").alias("t"), F.count_if("n").alias("n")), "toxic-pairs")
+        kinds = lambda c: F.count(F.when(F.col(c) > 0, 1))
         size_t, size_n = (float(x or 1) for x in pairs.agg(F.sum("t"), F.sum("n")).first())
-        words = staged(pairs.groupBy("w").agg(kinds("t").alias("nt"), kinds("n").alias("nn"), F.sum(both).alias("all")), "toxic-words")
+        words = staged(pairs.groupBy("w").agg(kinds("t").alias("nt"), kinds("n").alias("nn")), "toxic-words")
         kinds_t, kinds_n = (float(x or 1) for x in words.agg(F.sum("nt"), F.sum("nn")).first())
-        own_t, own_n = (float(x or 0) for x in words.agg(F.sum(_excess("nt", "nn", kinds_t / kinds_n)), F.sum(_excess("nn", "nt", kinds_n / kinds_t))).first())
+        word_owns = [_excess("nt", "nn", kinds_t / kinds_n), _excess("nn", "nt", kinds_n / kinds_t)]
+        own_t, own_n = (float(x or 0) for x in words.agg(*map(F.sum, word_owns)).first())
         left_t, left_n = 1 - own_t / kinds_t, 1 - own_n / kinds_n
-        w, nt, nn, _ = _columns(_bounded(words, "all"))
+        owns = [_excess("t", "n", size_t / size_n), _excess("n", "t", size_n / size_t)]
+        # All with an excess: what has none is worth what an unseen pair, context or word is.
+        kept = staged(pairs.withColumns({"et": owns[0], "en": owns[1]}).where("et > 0 or en > 0").select("v", "w", "et", "en"), "toxic-kept")
+        contexts = pairs.groupBy("v").agg(F.sum("t").alias("ct"), F.sum("n").alias("cn"), *[F.sum(x).alias(k) for x, k in zip(owns, ("et", "en"))]).where("et > 0 or en > 0")
+        words = words.withColumns({"et": word_owns[0], "en": word_owns[1]}).join(kept.select("w", F.lit(True).alias("paired")).distinct(), "w", "left")
+        w, et, en = _columns(words.where("et > 0 or en > 0 or paired").select("w", "et", "en"))
         self.words = w.view(np.uint64)
-        seen = corpus_counts(docs, self.words) if len(w) else np.zeros(0)
-        base = (seen + 1.0) / (seen.sum() + 2.0 * len(seen) + 1.0)
-        p_t = excess(nt, nn * kinds_t / kinds_n) / kinds_t + left_t * base
-        p_n = excess(nn, nt * kinds_n / kinds_t) / kinds_n + left_n * base
+        seen, total = corpus_counts(docs, self.words)
+        base = (seen + 1.0) / (total + len(seen) + 1.0)
+        p_t, p_n = et / kinds_t + left_t * base, en / kinds_n + left_n * base
         self.word_delta, self.unseen = np.log(p_t / p_n), float(np.log(left_t / left_n))
-        owns = [_excess("t", "n", size_t / size_n), _excess("n", "t", size_n / size_t)]
-        contexts = staged(pairs.groupBy("v").agg(F.sum("t").alias("ct"), F.sum("n").alias("cn"), *[F.sum(x).alias(k) for x, k in zip(owns, ("et", "en"))]).where("et > 0 or en > 0").withColumn("all", F.col("ct") + F.col("cn")), "toxic-contexts")
-        v, ct, cn, et, en, _ = _columns(_bounded(contexts, "all"))
+        v, ct, cn, et, en = _columns(contexts.select("v", "ct", "cn", "et", "en"))
         rest_t, rest_n = 1 - et / np.maximum(ct, 1), 1 - en / np.maximum(cn, 1)
         self.contexts, self.context_delta = v.view(np.uint64), np.log(rest_t / rest_n)
-        kept = pairs.withColumns({"et": owns[0], "en": owns[1], "all": both}).where("et > 0 or en > 0")
-        v2, w2, et, en = _columns(_bounded(kept, "all").select("v", "w", "et", "en"))
+        v2, w2, et, en = _columns(kept)
         v2, w2 = v2.view(np.uint64), w2.view(np.uint64)
         at_v, at_w = HashIndex(self.contexts).find(v2), HashIndex(self.words).find(w2)
-        ok = (at_v >= 0) & (at_w >= 0)
-        at_v, at_w = at_v[ok], at_w[ok]
-        q_t = et[ok] / np.maximum(ct[at_v], 1) + rest_t[at_v] * p_t[at_w]
-        q_n = en[ok] / np.maximum(cn[at_v], 1) + rest_n[at_v] * p_n[at_w]
-        self.pairs, self.pair_delta = mix64(v2[ok] * PAIR + w2[ok]), np.log(q_t / q_n)
+        q_t = et / np.maximum(ct[at_v], 1) + rest_t[at_v] * p_t[at_w]
+        q_n = en / np.maximum(cn[at_v], 1) + rest_n[at_v] * p_n[at_w]
+        self.pairs, self.pair_delta = mix64(v2 * PAIR + w2), np.log(q_t / q_n)
 
     def scorer(self):
         """A function from (bytes, offsets) to each row's mean difference."""
@@ -222,10 +218,16 @@ def fitted(docs: DataFrame, labels: DataFrame, learn: Column, curve: Column) ->
     return model, *logistic(x, y)
 
 
-def scored(docs: DataFrame, labels: DataFrame, learn: Column, curve: Column) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, learn: Column, held: Column) -> DataFrame:
     """doc_id and score (0 to 1) of every text."""
-    model, slope, start = fitted(docs, labels, learn, curve)
+    with scratch(docs.sparkSession):  # the model is on the driver then
+        model, slope, start = fitted(docs, labels, learn, held)
     found = values(docs, model) if model else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0.0).alias("value"))
+    return curve(found, slope, start)
+
+
+def curve(found: DataFrame, slope: float, start: float) -> DataFrame:
+    """doc_id and score of rows of doc_id and value."""
     return found.select("doc_id", (1 / (1 + F.exp(-(F.lit(slope) * F.col("value") + F.lit(start))))).alias("score"))
 
 
@@ -244,6 +246,10 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame, at: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below ``at``; all labels serve (folds 0 to 3 the models, 4 the curve)."""
     number = fold(F.col("doc_id"))
-    held = scored(docs, labels, number.isin(0, 1, 2, 3), number == 4)
-    rejected = staged(held.where(F.col("score") >= at).select(F.col("doc_id").alias("__rejected")).distinct(), "toxic-rejected")
+    with scratch(docs.sparkSession) as keep:
+        model, slope, start = fitted(docs, labels, number.isin(0, 1, 2, 3), number == 4)
+        if model is None:
+            return docs
+        rejected = curve(values(docs, model), slope, start).where(F.col("score") >= at)
+        rejected = keep(staged(rejected.select(F.col("doc_id").alias("__rejected")).distinct(), "toxic-rejected"))
     return with_small(docs, rejected, F.col("doc_id").cast("long") == F.col("__rejected"), "left_anti", rejected.count())
