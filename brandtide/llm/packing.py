@@ -10,7 +10,8 @@ bin holds more than ``per_source`` pieces of a source. There is no limit on bins
 the group; bins of other groups are not searched.
 
 Defined results: null and empty texts have no piece (piece 0, bin_id null); a null source is a source, null
-texts are a cluster; repeated rows are pieces of their own and conflict; an empty table gives an empty result.
+texts are a cluster; repeated rows are pieces of their own and conflict; an empty table gives an empty result. The
+groups follow the rows' places in the input, so that the same rows in another layout may be packed otherwise.
 """
 
 from __future__ import annotations
