@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 import zlib
@@ -84,11 +85,20 @@ def test_shards(spark, docs, sf_dir, n):
     assert max(sizes) - min(sizes) <= 1 and all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
-def test_matrix_sums_and_law():
+def matrix(counts, n_shards, seed, *part):
+    return np.array([row for _, row in sharding.matrix_rows(np.array(counts), n_shards, seed, *part)])
+
+
+def test_matrix_sums_and_law(monkeypatch):
     counts = [50, 0, 7, 300, 1]
-    m = sharding.communication_matrix(counts, 24, 3)
+    m = matrix(counts, 24, 3)
     assert m.sum(axis=1).tolist() == counts and set(m.sum(axis=0).tolist()) <= {14, 15}
-    means = np.mean([sharding.communication_matrix([30, 70], 2, s) for s in range(400)], axis=0)
+    assert np.array_equal(np.concatenate([matrix(counts, 24, 3, 0, 2), matrix(counts, 24, 3, 2, 5)]), m)  # by different tasks
+    means = np.mean([matrix([30, 70], 2, s) for s in range(400)], axis=0)
+    assert np.allclose(means, [[15, 15], [35, 35]], atol=0.6)
+    monkeypatch.setattr(sharding, "NUMPY_ROWS", 0)
+    assert matrix(counts, 24, 3).sum(axis=1).tolist() == counts
+    means = np.mean([matrix([30, 70], 2, s) for s in range(400)], axis=0)
     assert np.allclose(means, [[15, 15], [35, 35]], atol=0.6)
     rng = np.random.default_rng(1)
     draws = [sharding._large_hypergeometric(rng, 3_000, 7_000, 100) for _ in range(3000)]
@@ -189,3 +199,26 @@ def test_packed_documents(spark, docs):
         assert spans[-1][1] <= 100 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
         assert max(Counter(sources[r["doc_id"]] for r in held).values()) <= 2 and max(Counter(texts[r["doc_id"]] for r in held).values()) == 1
     assert packing.packed(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("n", [64, 1024, 2048])
+def test_long_pieces_that_are_alike(spark, docs, n):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    at = [k.bit_count() & 1 for k in range(n)]
+    for letters in ("ab", "ai", "éü", "中国"):
+        texts = ["".join(letters[x ^ flip] for x in at) for flip in (0, 1)]
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in records.Pieces(path).encode(texts)] == want
+    found = {r["doc_id"]: r for r in records.read_records(*records.write_records(docs(texts), path)).collect()}
+    for i, ids in enumerate(want):
+        assert found[i]["ids_crc32"] == zlib.crc32(np.array([*ids, 2], "<u4").tobytes())
+
+
+def test_rows_that_repeat_are_dealt_out(spark, docs):
+    got = sharding.shuffle_into_shards(docs(["same"] * 50, ids=[7] * 50), 24).collect()
+    assert len(got) == 50 and {collections.Counter(r["shard"] for r in got)[s] for s in range(24)} == {2, 3}
+    assert sharding.shuffle_into_shards(docs([]), 24).count() == 0
