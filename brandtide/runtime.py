@@ -15,7 +15,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scopes = threading.local()
+#: Open scopes by thread, innermost last.
+_scopes: dict[int, list[list[str]]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,8 +42,8 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
-    if getattr(_scopes, "open", None):
-        _scopes.open[-1].append(path)
+    for scope in _scopes.get(threading.get_ident(), [])[-1:]:
+        scope.append(path)
     return out
 
 
@@ -54,7 +55,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(df: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
     _delete(df.sparkSession, df._staged_at)
-    for scope in getattr(_scopes, "open", []):
+    for scope in _scopes.get(threading.get_ident(), []):
         if df._staged_at in scope:
             scope.remove(df._staged_at)
 
@@ -65,11 +66,10 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
     Give it every staged table that a result still reads; it returns them. They pass to the scope around, if any.
     """
-    if not hasattr(_scopes, "open"):
-        _scopes.open = []
+    scopes = _scopes.setdefault(threading.get_ident(), [])
     own: list[str] = []
     kept: list[str] = []
-    _scopes.open.append(own)
+    scopes.append(own)
 
     def keep(df: DataFrame) -> DataFrame:
         kept.append(df._staged_at)
@@ -78,9 +78,11 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield keep
     finally:
-        _scopes.open.pop()
+        scopes.pop()
         for path in own:
             if path not in kept:
                 _delete(spark, path)
-        if _scopes.open:
-            _scopes.open[-1].extend(kept)
+        if scopes:
+            scopes[-1].extend(kept)
+        else:
+            del _scopes[threading.get_ident()]
