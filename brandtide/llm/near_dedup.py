@@ -2,18 +2,25 @@
 
 Texts are sets of 64-bit hashes of five consecutive words (A-Z lower-cased). Equal sets are grouped first by a
 128-bit sum over the set, and only the smallest id of each goes on. From ``COORDINATES`` minwise values of each set,
-``TREES`` independent trees branch: a root chooses, from a hash of its path, one coordinate and with probability 1/3
-a second, every node below two; a document goes to the child of its value there. Nodes of at most ``LEAF`` documents
-compare all pairs by their minwise values; larger ones branch on, down to ``DEPTH``, where what is still large (copies
-of one another, or nearly) is compared with the document of the least hash in its node. Pairs that may reach the
-threshold are confirmed on full sets: first the most similar partner of each document, then every pair that those
-links leave in different components. In a node that stayed large, the documents outside its main component are then
-compared with all of other components, in blocks. So no pair between components that meets there goes untested.
-
-A pair is lost if it shares no small node and no node of level ``DEPTH``, which depends on where its nodes get small.
-With the spread of the minwise values counted in, a pair at the threshold shares no node of level 1, 2, 3, 4 with
-chance 6e-14, 2e-11, 2e-10, 1e-9 (``missed``); fewer than half of its values agree with chance 4e-8, the only other
-loss. Both fall with similarity.
+``TREES`` independent trees branch: every node chooses, from a hash of its path, one coordinate and with probability
+1/2 a second, and a document goes to the child of its value there. By the size of a node and what is in it:
+
+* At most ``LEAF`` documents: all pairs are compared by their minwise values, and those that may reach the threshold
+  are confirmed on full sets, which go once to each leaf that has such pairs.
+* More, but not alike (less than ``ALIKE`` of the values agree with the node's most frequent ones): up to ``UNLIKE``
+  documents are a leaf as well, for few of their pairs come near the threshold; more branch on.
+* More, and alike: the document nearest to the most frequent values leads, and nodes of one leader are one family.
+  Families are cut into blocks of at most about ``BLOCK`` documents, each with its leader. A block compares the leader
+  with all, and whatever the leader is not linked to with all, by exact intersections of full sets as bitmaps; it
+  returns a spanning forest of the links that it finds, never all pairs.
+* A family of several blocks then holds components. If at most ``OUTSIDERS`` documents are outside the largest, each
+  is compared with the other components in all blocks; if there are more, the family's nodes branch on, and
+  each of their children is judged likewise. From level ``LAST`` on nothing branches and all is compared.
+
+A pair is lost if it shares no node in which it would be compared: at the threshold with chance 6e-13 at level 1,
+3e-9, 1e-7, 2e-6 at levels 2 to 4, and 1e-3 at level ``LAST`` (``missed``), which only families get to that keep more
+than ``OUTSIDERS`` documents apart in nodes of so many common values. Fewer than half of a pair's values agree with
+chance 4e-8, the only other loss. Both fall with similarity.
 
 Defined results: null, empty and blank texts have no shingle and are linked with nothing; fewer words than five are
 one shingle; rows that repeat an id are one document of several texts, of which one is kept; rows of a null id are
@@ -22,23 +29,29 @@ linked with nothing, so that near copies among them stay; an empty table gives a
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandtide.llm.common import Powers, mix64, small_batches, table, text_slices, with_small, words
 from brandtide.llm.graph import components
-from brandtide.runtime import staged
-
-SHINGLE, COORDINATES, TREES, LEAF, DEPTH, BLOCK = 5, 96, 22, 48, 4, 1024
+from brandtide.runtime import discard, scratch, staged
+
+SHINGLE, COORDINATES, TREES, LEAF, UNLIKE = 5, 96, 18, 48, 8192
+#: Documents and bytes of sets in a block of a family, about; outsiders that are compared with a whole family.
+BLOCK, BLOCK_BYTES, OUTSIDERS = 8192, 32 << 20, 8192
+#: Documents by which a node's most frequent values are told; share of agreeing values from which on it is alike.
+SAMPLE, ALIKE = 64, 0.5
+LAST = 12
 WORD_SEED, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
 #: A pair may reach the threshold if this share of its minwise values agree.
 MAY = 0.5
-#: From so many pairs for each document on, sets go once to each cell of pairs instead of along with each pair.
-DENSE, CELL = 32, 128
+#: Shingles that one bitmap has columns for.
+COLUMNS = 1 << 13
 
 
 def missed(similarity: float, level: int) -> float:
@@ -46,10 +59,10 @@ def missed(similarity: float, level: int) -> float:
     total = 0.0
     for k in range(ceil(MAY * COORDINATES), COORDINATES + 1):
         agree, below = k / COORDINATES, 0.0
-        for _ in range(level - 1):
-            below = (1 - agree + agree * below) ** 2
-        child = 1 - agree + agree * below
-        total += comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) * ((2 * child + child**2) / 3) ** TREES
+        for _ in range(level):
+            child = 1 - agree + agree * below
+            below = (child + child**2) / 2
+        total += comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) * below**TREES
     return total
 
 
@@ -94,59 +107,81 @@ def sketches(batches):
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(sigs, pa.binary())], names=["doc_id", "n", "d1", "d2", "sig"])
 
 
-def branch(root: bool):
-    """Child nodes (key, rep) of rows (key, rep, sig)."""
-
-    def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            keys, reps = b["key"].to_numpy().view(np.uint64), b["rep"].to_numpy()
-            sig = np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(-1, COORDINATES)
-            draw = mix64(keys ^ np.uint64(0x51ED2701))
-            one = (draw % np.uint64(COORDINATES)).astype(np.int64)
-            two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-            rows = np.arange(len(keys))
-            second = rows[(draw >> np.uint64(40)) % np.uint64(3) == 0] if root else rows
-            at, coordinate = np.concatenate([rows, second]), np.concatenate([one, two[second]])
-            child = mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate])
-            yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(reps[at])], names=["key", "rep"])
+def branch(batches):
+    """Child nodes (key, rep, deep) of rows (key, rep, deep, sig)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys, reps, sig = b["key"].to_numpy().view(np.uint64), b["rep"].to_numpy(), _rows(b["sig"], np.uint32)
+        draw = mix64(keys ^ np.uint64(0x51ED2701))
+        one = (draw % np.uint64(COORDINATES)).astype(np.int64)
+        two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+        rows = np.arange(len(keys))
+        second = rows[(draw >> np.uint64(40)) % np.uint64(2) == 0]
+        at, coordinate = np.concatenate([rows, second]), np.concatenate([one, two[second]])
+        child = mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate])
+        yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(reps[at]), b["deep"].take(pa.array(at))], names=["key", "rep", "deep"])
 
-    return run
 
+def _rows(column: pa.Array, kind) -> np.ndarray:
+    """Signatures of equal length as the rows of an array."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, COORDINATES)
 
-def leaf_pairs(batches):
-    """Pairs (a < b, alike) within runs of equal keys; rows (key, rep, n, low) come sorted by key and rep."""
-
-    def pairs(t: pa.Table):
-        keys, reps, n = (t[c].to_numpy() for c in ("key", "rep", "n"))
-        low = np.frombuffer(b"".join(t["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        out = []
-        for step in range(1, len(keys)):
-            at = np.flatnonzero(keys[step:] == keys[:-step])
-            if not len(at):
-                break
-            small, large = np.minimum(n[at], n[at + step]), np.maximum(n[at], n[at + step])
-            at = at[(100 * small >= 75 * large) & (reps[at] != reps[at + step])]
-            alike = (low[at] == low[at + step]).sum(axis=1)
-            ok = alike >= MAY * COORDINATES
-            out.append((reps[at[ok]], reps[at[ok] + step], alike[ok]))
-        a, b, c = (np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else [(), (), ()]))
-        return pa.record_batch([pa.array(np.minimum(a, b).astype(np.int64)), pa.array(np.maximum(a, b).astype(np.int64)), pa.array(c.astype(np.int32))], names=["a", "b", "alike"])
 
+def whole_runs(batches, column: str):
+    """Tables of rows sorted by a column, none of whose values is in two of them."""
     rest = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         t = pa.Table.from_batches([batch])
         t = pa.concat_tables([rest, t]) if rest is not None else t
-        if not t.num_rows:
-            continue
-        keys = t["key"].to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+        keys = t[column].to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))  # the last value may go on
         rest = t.slice(cut)
         if cut:
-            yield pairs(t.slice(0, cut))
-    if rest is not None and rest.num_rows:
-        yield pairs(rest)
+            yield t.slice(0, cut)
+    if rest is not None:
+        yield rest
+
+
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many of their bytes rows agree, eight at a time."""
+    lanes = np.ascontiguousarray(x == y).view(np.uint64).sum(axis=1, dtype=np.uint64)  # a byte holds at most 12 here
+    return (lanes * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int32)
+
+
+def leaf_pairs(batches):
+    """Pairs (a < b, alike) within a leaf, with its size, but none of one family (0 is none).
+
+    Rows (key, size, n, rep, low, family) come sorted by key and n, so that a document is compared with those behind it
+    that are not too large for the threshold.
+    """
+    names = ["key", "size", "a", "b", "alike"]
+    for t in whole_runs(batches, "key"):
+        keys, sizes, reps, n, family = (t[c].to_numpy() for c in ("key", "size", "rep", "n", "family"))
+        low, out, at = _rows(t["low"], np.uint8), [], np.flatnonzero(sizes <= LEAF)
+        for step in range(1, LEAF):  # all small leaves at once
+            at = at[at + step < len(keys)]
+            at = at[(keys[at] == keys[at + step]) & (100 * n[at] >= 75 * n[at + step])]
+            if not len(at):
+                break
+            some = at[((family[at] != family[at + step]) | (family[at] == 0)) & (reps[at] != reps[at + step])]
+            alike = agreeing(low[some], low[some + step])
+            ok = alike >= MAY * COORDINATES
+            out.append((some[ok], some[ok] + step, alike[ok]))
+        for i in np.flatnonzero(sizes > LEAF).tolist():
+            end = int(np.searchsorted(keys, keys[i], "right"))
+            end = i + int(np.searchsorted(n[i:end], n[i] * 4 // 3, "right"))
+            if end > i + 1:
+                alike = agreeing(low[i + 1 : end], low[i])
+                ok = np.flatnonzero(alike >= MAY * COORDINATES)
+                ok = ok[((family[i + 1 + ok] != family[i]) | (family[i] == 0)) & (reps[i + 1 + ok] != reps[i])]
+                out.append((np.full(len(ok), i), i + 1 + ok, alike[ok]))
+        if out:
+            one, two, alike = (np.concatenate(x) for x in zip(*out))
+            a, b = np.minimum(reps[one], reps[two]), np.maximum(reps[one], reps[two])
+            yield pa.record_batch([pa.array(x) for x in (keys[one], sizes[one], a, b, alike)], names=names)
 
 
 def full_sets(batches):
@@ -159,160 +194,289 @@ def full_sets(batches):
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
-def alike_enough(x: np.ndarray, y: np.ndarray) -> bool:
-    both = len(x) + len(y) - len(np.union1d(x, y))
-    return 100 * both >= 75 * (len(x) + len(y) - both)
+def alike_enough(both, x, y):
+    """Whether sets of x and y elements, that share so many, reach the threshold."""
+    return 100 * both >= 75 * (x + y - both)
 
 
-def confirm(batches):
-    for b in batches:
-        keep = pa.array([alike_enough(*(np.frombuffer(v.as_buffer(), np.uint64) for v in p)) for p in zip(b["x"], b["y"])], pa.bool_())
-        yield pa.record_batch([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
+class Forest:
+    """Groups of numbered things, joined as links are found."""
+
+    def __init__(self, labels: np.ndarray):
+        self.labels = labels.copy()
+
+    def join(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Joins i with the others; those of them, one of each other group, that it needed."""
+        others = others[self.labels[others] != self.labels[i]]
+        found, first = np.unique(self.labels[others], return_index=True)
+        if len(found):
+            self.labels[np.isin(self.labels, found)] = self.labels[i]
+        return others[first]
 
 
-def confirm_cells(batches):
-    """Pairs (with b) that reach the threshold; the sets (without b) of their cell come first."""
-    at, sets = None, {}
+def confirm_leaves(batches):
+    """A forest of the pairs (with b) that reach the threshold; a leaf's sets (without b) come first, likely pairs next."""
+    at = None
     for batch in batches:
         out = []
-        for cell, a, b, x in zip(*(batch[c].to_pylist() for c in ("cell", "a", "b", "shingles"))):
-            if at != cell:
-                at, sets = cell, {}
+        for key, a, b, x in zip(*(batch[c].to_pylist() for c in ("key", "a", "b", "shingles"))):
+            if at != key:
+                at, sets, root = key, {}, {}
             if b is None:
-                sets[a] = np.frombuffer(x, np.uint64)
-            elif alike_enough(sets[a], sets[b]):
+                sets[a], root[a] = np.frombuffer(x, np.uint64), a
+                continue
+            u, v = a, b
+            while root[u] != u:
+                u = root[u]
+            while root[v] != v:
+                v = root[v]
+            if u != v and alike_enough(len(np.intersect1d(sets[a], sets[b], assume_unique=True)), len(sets[a]), len(sets[b])):
+                root[max(u, v)] = min(u, v)
                 out.append((a, b))
         yield pa.record_batch([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that reach the threshold on full sets; ``pairs`` is a staged table."""
-    ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-    n_ids = ids.count()
-    chosen = with_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id", "left_semi", n_ids)
-    sets = staged(chosen.mapInArrow(full_sets, "id long, shingles binary"), "near-sets")
-    if pairs.count() > DENSE * n_ids:
-        side = lambda c: F.pmod(F.xxhash64(c), F.lit(-(-n_ids // CELL)))
-        asked = pairs.select(F.shiftleft(side("a"), 32).bitwiseOR(side("b")).alias("cell"), "a", "b")
-        held = asked.select("cell", F.col("a").alias("id")).union(asked.select("cell", "b")).distinct().join(sets, "id").select("cell", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
-        rows = held.unionByName(asked, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", F.asc_nulls_first("b"))
-        return staged(rows.mapInArrow(confirm_cells, "a long, b long"), "near-links")
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return staged(joined.select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"), "near-links")
+def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and full set (as bytes) of the documents of a staged table of distinct ids."""
+    chosen = with_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi", ids.count())
+    return chosen.mapInArrow(full_sets, "id long, shingles binary")
+
+
+def leaf_links(leaves: DataFrame, whole: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Staged links within the leaves, rows of key, rep, size, but for pairs of one family in ``whole`` (family, rep)."""
+    one = whole.groupBy("rep").agg(F.xxhash64(F.min("family")).alias("family"))
+    low = reps.select("rep", "n", "low").join(one, "rep", "left")
+    rows = leaves.join(low, "rep").select("key", "size", "rep", "n", "low", F.coalesce("family", F.lit(0)).alias("family"))
+    found = rows.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(leaf_pairs, "key long, size long, a long, b long, alike int")
+    # A pair that met in several leaves is confirmed in the largest, which has most others to confirm.
+    pairs = found.groupBy("a", "b").agg(F.max(F.struct("size", "key")).alias("x"), F.first("alike").alias("alike"))
+    pairs = staged(pairs.select("x.key", "a", "b", "alike"), "near-pairs")
+    held = staged(pairs.select("key", F.col("a").alias("id")).union(pairs.select("key", "b")).distinct(), "near-asked")
+    sets = sets_of(staged(held.select("id").distinct(), "near-ids"), docs)
+    rows = held.join(sets, "id").select("key", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(COORDINATES + 1).alias("alike"), "shingles")
+    rows = rows.unionByName(pairs, allowMissingColumns=True).repartition("key").sortWithinPartitions("key", F.desc("alike"))
+    return staged(rows.mapInArrow(confirm_leaves, "a long, b long"), "near-links")
 
 
-def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Staged pairs (a < b, alike) that may reach the threshold, and the members (key, rep) of nodes that stayed large.
+def leaders(nodes: DataFrame) -> DataFrame:
+    """Staged key and leader of the alike ones among large nodes; ``nodes`` is a staged table of key, rep, size, low."""
+    sample = nodes.where(F.pmod(F.xxhash64("rep", "key"), F.col("size")) < SAMPLE)
 
-    ``reps`` (rep, n, sig) is a staged table.
+    def most_frequent(t: pa.Table) -> pa.Table:  # of SAMPLE rows, about
+        rows = _rows(t["low"], np.uint8)
+        counts = np.bincount((rows + 256 * np.arange(COORDINATES)).ravel(), minlength=256 * COORDINATES).reshape(COORDINATES, 256)
+        return pa.table([t["key"][:1], pa.array([counts.argmax(axis=1).astype(np.uint8).tobytes()], pa.binary()), pa.array([float(counts.max(axis=1).sum()) / rows.size])], names=["key", "top", "share"])
+
+    def agreement(batches):
+        for b in batches:
+            if b.num_rows:
+                agree = (_rows(b["low"], np.uint8) == _rows(b["top"], np.uint8)).sum(axis=1)
+                yield pa.record_batch([b["key"], b["rep"], pa.array(agree.astype(np.int32))], names=["key", "rep", "agree"])
+
+    tops = staged(sample.select("key", "low").groupBy("key").applyInArrow(most_frequent, "key long, top binary, share double").where(F.col("share") >= ALIKE).select("key", "top"), "near-tops")
+    seen = with_small(nodes, tops, "key", "inner", tops.count()).select("key", "rep", "low", "top").mapInArrow(agreement, "key long, rep long, agree int")
+    return staged(seen.groupBy("key").agg(F.max_by("rep", F.struct("agree", -F.col("rep"))).alias("leader")), "near-leaders")
+
+
+def shared(sets: list[np.ndarray], asked: np.ndarray):
+    """For each of the asked sets its number and the size of its intersection with every set."""
+    sizes = np.array([len(s) for s in sets])
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    kinds, column, counts = np.unique(values, return_inverse=True, return_counts=True)
+    often = counts > 1  # others are in no intersection
+    rank = np.cumsum(often) - 1
+    use = often[column]
+    column, owner, n_columns = rank[column[use]], owner[use], int(often.sum())
+    parts = [(owner[at], column[at] - start) for start in range(0, n_columns, COLUMNS) if len(at := np.flatnonzero((column >= start) & (column < start + COLUMNS)))]
+    for some in range(0, len(asked), 1024):
+        who = asked[some : some + 1024]
+        both = np.zeros((len(who), len(sets)), np.int32)
+        for rows, columns in parts:
+            flags = np.zeros((len(sets), min(COLUMNS, -(-n_columns // 64) * 64)), bool)
+            flags[rows, columns] = True
+            bits = np.packbits(flags, axis=1).view(np.uint64)
+            del flags
+            for k, i in enumerate(who):
+                both[k] += np.bitwise_count(bits & bits[i]).sum(axis=1, dtype=np.int32)
+        yield from zip(who.tolist(), both)
+
+
+def block_links(batches):
+    """Links (a, b), a forest, of blocks of rows (place, kind, rep, part, shingles), sorted by place and kind.
+
+    Kind 0 is a family's leader: linked with all, and what is not linked with it is compared with all. Without a leader
+    rows of kind 1 are compared with those of kind 2 that are of another part (component).
     """
-    roots = F.explode(F.array(*[F.lit(int(x)) for x in mix64(np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)]))
-    rows, leaves, stars, more = reps.select(roots.alias("key"), "rep", "sig").mapInArrow(branch(True), "key long, rep long"), [], None, None
-    low = reps.select("rep", "n", F.col("sig"))
-    for level in range(1, DEPTH + 1):
-        rows = staged(rows, "near-nodes")
-        sizes = staged(rows.groupBy("key").count().where("count > 1"), "near-sizes")
-        leaves.append(rows.join(sizes.where(F.col("count") <= LEAF).select("key"), "key", "left_semi"))
-        large = sizes.where(F.col("count") > LEAF).select("key")
-        if large.isEmpty():
-            break
-        more = rows.join(large, "key", "left_semi")
-        if level < DEPTH:
-            rows = more.join(reps.select("rep", "sig"), "rep").select("key", "rep", "sig").mapInArrow(branch(False), "key long, rep long")
+    held: list = []
+
+    def links():
+        rows = {r[1]: r for r in reversed(held)}  # a leader is a member as well
+        rows = sorted(rows.values(), key=lambda r: r[0])
+        kind, reps = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        sizes, forest, found = np.array([len(s) for s in sets]), Forest(np.array([r[2] for r in rows])), []
+        if kind[0] == 0:
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            both = np.bincount(owner[np.isin(np.concatenate(sets), sets[0])], minlength=len(sets))
+            others = np.flatnonzero(alike_enough(both, sizes[0], sizes) & (np.arange(len(sets)) > 0))
+            found.append((np.zeros(len(others), np.int64), forest.join(0, others)))
+            asked = np.flatnonzero(forest.labels != forest.labels[0])
         else:
-            more = staged(more, "near-large")
-            leader = more.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("leader"))).alias("x")).select("key", "x.leader")
-            stars = more.join(leader, "key").where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-    together = leaves[0]
-    for x in leaves[1:]:
-        together = together.unionByName(x)
-    found = together.join(low.select("rep", "n", _low_bytes(F.col("sig")).alias("low")), "rep").select("key", "rep", "n", "low").repartition("key").sortWithinPartitions("key", "rep").mapInArrow(leaf_pairs, "a long, b long, alike int").distinct()
-    if stars is not None:
-        one = low.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("x"))
-        two = low.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("y"))
-        found = found.unionByName(stars.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(star_pairs, "a long, b long, alike int")).distinct()
-    return staged(found, "near-pairs"), more if stars is not None else None
-
-
-def outsiders(large: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a < b) of members outside the main component of a large node with its members of other components, by blocks."""
-    members = large.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = members.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
-    members = staged(members.join(sizes, "key").select("key", "rep", "component", "blocks", (F.col("component") != F.col("main")).alias("out")), "near-members")
-    asked = members.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "component", "out", F.lit(0).alias("kind"))
-    held = members.select("key", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int").alias("block"), "rep", "component", "out", F.lit(1).alias("kind"))
-    low = reps.select("rep", "n", _low_bytes(F.col("sig")).alias("low"))
-    rows = held.unionByName(asked).join(low, "rep").select("key", "block", "kind", "rep", "component", "out", "n", "low").repartition("key", "block").sortWithinPartitions("key", "block", F.desc("kind"), "rep")
-    return rows.mapInArrow(block_pairs, "a long, b long").distinct()
-
-
-def block_pairs(batches):
-    """Each asked row (kind 0) with the members (kind 1) of its key and block, which come first, of other components."""
-    at, held = None, []
-    for b in batches:
-        keys = np.stack([b[c].to_numpy().astype(np.int64) for c in ("key", "block")], axis=1)
-        kind, own, part, sizes = (b[c].to_numpy() for c in ("kind", "rep", "component", "n"))
-        outside = b["out"].to_numpy(zero_copy_only=False)
-        rows = np.frombuffer(b"".join(b["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1) | (kind[1:] != kind[:-1])])) if len(own) else []
-        for x, y in zip(cuts, [*cuts[1:], len(own)]):
-            if at != (key := tuple(keys[x])):
-                at, held = key, []
-            if kind[x] == 1:
-                held.append((own[x:y], part[x:y], outside[x:y], sizes[x:y], rows[x:y]))
-                continue
-            held, found = [tuple(np.concatenate(z) for z in zip(*held))], []
-            r, p, o, m, t = held[0]
-            for i in range(x, y):  # two rows that are both asked meet twice: the smaller one counts
-                fits = np.flatnonzero((p != part[i]) & ~(o & (r < own[i])) & (100 * np.minimum(m, sizes[i]) >= 75 * np.maximum(m, sizes[i])))
-                other = r[fits[(t[fits] == rows[i]).sum(axis=1) >= MAY * COORDINATES]]
-                found.append((np.minimum(other, own[i]), np.maximum(other, own[i])))
-            yield pa.record_batch([pa.array(np.concatenate(z)) for z in zip(*found)], names=["a", "b"])
+            asked = np.flatnonzero(kind == 1)
+        if len(asked):
+            for i, both in shared(sets, asked):
+                ok = alike_enough(both, sizes[i], sizes)
+                ok[i] = False
+                need = forest.join(i, np.flatnonzero(ok))
+                found.append((np.full(len(need), i), need))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        a, b = reps[a.astype(np.int64)], reps[b.astype(np.int64)]
+        return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    at = None
+    for batch in batches:
+        for place, *row in zip(*(batch[c].to_pylist() for c in ("place", "kind", "rep", "part", "shingles"))):
+            if place != at and held:
+                yield links()
+                held.clear()
+            at = place
+            held.append(row)
+    if held:
+        yield links()
 
 
-def _low_bytes(sig):
-    """The lowest byte of each 32-bit value of a signature (every fourth byte of its hexadecimal form)."""
-    return F.unhex(F.regexp_replace(F.hex(sig), "(..)......", "$1"))
+def in_blocks(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Staged links within blocks; ``rows`` is a staged table of place, kind, rep, part."""
+    sets = sets_of(staged(rows.select(F.col("rep").alias("id")).distinct(), "near-ids"), docs)
+    placed = rows.join(sets.withColumnRenamed("id", "rep"), "rep").select("place", "kind", "rep", "part", "shingles")
+    return staged(placed.repartition("place").sortWithinPartitions("place", "kind", "rep").mapInArrow(block_links, "a long, b long"), "near-links")
 
 
-def star_pairs(batches):
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in ("x", "y"))
-        na, nb, alike = b["na"].to_numpy(), b["nb"].to_numpy(), (x == y).sum(axis=1)
-        ok = pa.array((100 * np.minimum(na, nb) >= 75 * np.maximum(na, nb)) & (alike >= MAY * COORDINATES))
-        yield pa.record_batch([b["a"].filter(ok), b["b"].filter(ok), pa.array(alike.astype(np.int32)).filter(ok)], names=["a", "b", "alike"])
+def in_families(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged members and families (family, blocks) of rows (family, rep, n)."""
+    members = staged(members, "near-members")
+    sizes = members.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("n") * 8 / BLOCK_BYTES)).cast("int")
+    return members, staged(sizes.select("family", blocks.alias("blocks")), "near-families")
+
+
+def _place(block: Column) -> Column:
+    return F.xxhash64("family", block).alias("place")
+
+
+def _own_block() -> Column:
+    return F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+
 
+def _every_block() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
 
-def merged(parts: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFrame | None:
-    """Components (node, component), staged, after links among the pairs that ``parts`` leaves apart; None if there are none."""
-    part = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"p{c}"))
-    open_ = staged(pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b"), "near-open")
-    more = None if open_.isEmpty() else confirmed(open_, docs)
-    if more is None or more.isEmpty():
-        return None
-    return staged(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "near-parts")
+
+def family_links(members: DataFrame, families: DataFrame, docs: DataFrame) -> DataFrame:
+    """Staged links with the leaders (families are called by them) and within blocks."""
+    held = members.join(families, "family").select(_place(_own_block()), F.lit(1).alias("kind"), "rep")
+    heads = families.select("family", _every_block()).select(_place(F.col("block")), F.lit(0).alias("kind"), F.col("family").alias("rep"))
+    return in_blocks(staged(held.unionByName(heads).withColumn("part", F.col("rep")), "near-blocks"), docs)
+
+
+def outsider_links(members: DataFrame, families: DataFrame, parts: DataFrame, last: bool, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged links between the components of families, and the families that have too many outsiders for that."""
+    part = parts.select(F.col("node").alias("rep"), F.col("component").alias("part"))
+    own = staged(members.join(families, "family").join(part, "rep", "left").withColumn("part", F.coalesce("part", "rep")), "near-members")
+    kinds = own.groupBy("family", "part").agg(F.count("*").alias("m"), F.sum("n").alias("n")).groupBy("family")
+    largest = F.struct("m", "part")
+    kinds = kinds.agg(F.max_by("part", largest).alias("main"), (F.sum("m") - F.max("m")).alias("outside"), (F.sum("n") - F.max_by("n", largest)).alias("n"))
+    many = ((F.col("outside") > OUTSIDERS) | (F.col("n") * 8 > 2 * BLOCK_BYTES)) & F.lit(not last)
+    kinds = staged(kinds.where("outside > 0").withColumn("many", many), "near-main")
+    own = own.join(kinds.where("not many").select("family", "main"), "family")
+    held = own.select(_place(_own_block()), F.lit(2).alias("kind"), "rep", "part")
+    asked = own.where("part <> main").select("family", _every_block(), "rep", "part").select(_place(F.col("block")), F.lit(1).alias("kind"), "rep", "part")
+    return in_blocks(staged(held.unionByName(asked), "near-blocks"), docs), kinds.where("many").select("family")
+
+
+def chosen_path(reps: DataFrame, docs: DataFrame) -> list[DataFrame]:
+    """Staged links (a, b) that join what is near; ``reps`` (rep, n, sig) is a staged table."""
+    roots = F.explode(F.array(*[F.lit(int(x)) for x in mix64(np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)]))
+    rows, leaves, links, done = reps.select(roots.alias("key"), "rep", F.lit(False).alias("deep"), "sig"), [], [], None
+    whole = reps.where("false").select(F.col("rep").alias("family"), "rep")
+    deep = False
+    for level in range(1, LAST + 1):
+        nodes = staged(rows.mapInArrow(branch, "key long, rep long, deep boolean"), "near-nodes")
+        sizes = staged(nodes.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "near-sizes")
+        n_large = sizes.where(F.col("size") > LEAF).count()
+        leaves.append(staged(nodes.join(sizes.where(F.col("size") <= LEAF), "key").select("key", "rep", "size"), "near-leaves"))
+        if not n_large:
+            break
+        large = with_small(nodes, sizes.where(F.col("size") > LEAF), "key", "inner", n_large).join(reps.select("rep", "n", "low"), "rep")
+        large = staged(large.select("key", "rep", "size", "deep", "n", "low"), "near-large")
+        discard(nodes)
+        led = leaders(large.where("not deep"))
+        n_led = led.count()
+        unlike = with_small(large, led, "key", "left_anti", n_led).where("not deep")
+        few = F.lit(level == LAST) | (F.col("size") <= UNLIKE)
+        leaves.append(unlike.where(few).select("key", "rep", "size"))
+        again, parted, called = [unlike.where(~few).select("key", "rep", "deep")], [], []
+        n_again = with_small(sizes.where(~few & (F.col("size") > LEAF)), led, "key", "left_anti", n_led).count()
+        if n_led:
+            members, families = in_families(with_small(large, led, "key", "inner", n_led).select(F.col("leader").alias("family"), "rep", "n").distinct())
+            if done is not None:  # what met under the same leader before is compared
+                new = members.join(done, ["family", "rep"], "left_anti").select("family").distinct()
+                families = staged(families.join(new, "family", "left_semi"), "near-families")
+            if done is None or not families.isEmpty():
+                links.append(family_links(members, families, docs))
+            whole = whole.unionByName(members.join(families.where("blocks = 1"), "family", "left_semi").select("family", "rep"))
+            if not families.where("blocks > 1").isEmpty():
+                parted.append((members, families.where("blocks > 1")))
+                called.append(led.select("key", F.col("leader").alias("family")))
+            done = every([x for x in (done, members.select("family", "rep")) if x is not None])
+        if deep:
+            parted.append(in_families(large.where("deep").select(F.col("key").alias("family"), "rep", "n")))
+            called.append(large.where("deep").select("key", F.col("key").alias("family")).distinct())
+        deep = False
+        if parted:
+            parts = staged(components(every(links)), "near-parts")
+            found, many = outsider_links(every([x for x, _ in parted]), every([x for _, x in parted]), parts, level == LAST, docs)
+            links.append(found)
+            deep = not many.isEmpty()
+            if deep:
+                again.append(large.join(every(called).join(many, "family", "left_semi"), "key", "left_semi").select("key", "rep", F.lit(True).alias("deep")))
+        if not n_again and not deep:  # deep nodes are counted too, and end with a level more
+            break
+        rows = every(again).join(reps.select("rep", "sig"), "rep").select("key", "rep", "deep", "sig")
+    return [leaf_links(every(leaves), whole, reps, docs), *links]
+
+
+def every(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _low_bytes(sig: Column) -> Column:
+    """The lowest byte of each 32-bit value of a signature (every fourth byte of its hexadecimal form)."""
+    return F.unhex(F.regexp_replace(F.hex(sig), "(..)......", "$1"))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    sets = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketches, "doc_id long, n long, d1 long, d2 long, sig binary"), "near-sketches")
-    first = staged(sets.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "near-equal")
-    own = first.select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "rep")
-    reps = staged(sets.join(own, ["doc_id", "d1", "d2", "n"]).dropDuplicates(["rep"]).select("rep", "n", "sig"), "near-reps")
-    pairs, large = candidates(reps)
-    best = pairs.groupBy("b").agg(F.max(F.struct("alike", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
-    # Rows that repeat an id hold several sets under it: link what they are equal to.
-    same_id = sets.where("n > 0").select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    repeated = sets.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("a"))
-    same_id = same_id.join(repeated, "a", "left_semi")
-    links = confirmed(staged(best, "near-best"), docs).unionByName(same_id)
-    parts = staged(components(links), "near-parts")
-    parts = merged(parts, pairs, docs) or parts
-    if large is not None:
-        parts = merged(parts, outsiders(large, reps, parts), docs) or parts
-    component = first.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id"))
-    found = sets.select("doc_id", "n", "d1", "d2").join(component, ["d1", "d2", "n"], "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    with scratch(docs.sparkSession) as keep:
+        sketched = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketches, "doc_id long, n long, d1 long, d2 long, sig binary")
+        sets = keep(staged(sketched, "near-sketches"))
+        some = sets.where("n > 0 and doc_id is not null")
+        first = staged(some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "near-equal")
+        repeated = staged(sets.groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-repeated")
+        own = first.select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "rep")
+        reps = some.join(own, ["doc_id", "d1", "d2", "n"]).select("rep", "n", "sig", _low_bytes(F.col("sig")).alias("low"))
+        once = repeated.isEmpty()
+        reps = staged(reps if once else reps.dropDuplicates(["rep"]), "near-reps")
+        links = every(chosen_path(reps, docs))
+        if not once:  # rows that repeat an id hold several sets under it: link what they are equal to
+            same_id = some.join(repeated, "doc_id", "left_semi").select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).where("doc_id <> rep")
+            links = links.unionByName(same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+        parts = staged(components(links).select(F.col("node").alias("rep"), "component"), "near-parts")
+        component = first.join(parts, "rep", "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id"))
+        component = keep(staged(component, "near-components"))
+    found = some.select("doc_id", "n", "d1", "d2").join(component, ["d1", "d2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rest = sets.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return found.unionByName(rest)
 
 
 def op9_near_duplicates(spark, sf_dir: str) -> DataFrame:
@@ -322,7 +486,8 @@ def op9_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document of the smallest id of each group, with the columns of ``docs``; rows that repeat an id count once."""
-    gone = staged(near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
+    with scratch(docs.sparkSession) as keep:
+        gone = keep(staged(near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone"))
     out = with_small(docs, gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti", gone.count())
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():

@@ -77,9 +77,11 @@ def test_large_groups_of_copies(spark, docs):
     assert got == {i: c for i, (_, c) in want.items()}
 
 
-def test_hub_whose_copies_are_linked_only_with_it(spark, docs, monkeypatch):
+@pytest.mark.parametrize("outsiders", [4, 4096])
+def test_hub_whose_copies_are_linked_only_with_it(spark, docs, monkeypatch, outsiders):
     monkeypatch.setattr(near_dedup, "LEAF", 3)
     monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    monkeypatch.setattr(near_dedup, "OUTSIDERS", outsiders)
     rng, base = random.Random(6), [f"w{k}" for k in range(80)]
     texts = [" ".join(base)]
     for k in range(60):
@@ -103,19 +105,71 @@ def test_pairs_at_the_threshold_are_found_however_deep_their_nodes(spark, docs,
     assert brute_groups(list(enumerate(texts[:2])))[1] == (70, 0)  # 60 of 80 shingles: 0.75
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts).repartition(4)).collect()}
     assert [i for i, c in got.items() if c != i - i % 2] == []
-    assert near_dedup.missed(0.75, near_dedup.DEPTH) < 2e-9
+    assert near_dedup.missed(0.75, 4) < 2e-6 and near_dedup.missed(0.75, near_dedup.LAST) < 1e-3
 
 
-def test_dense_pairs_are_confirmed_by_cells(spark, docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CELL", 5)
-    texts = [t for t in corpus(5) if t and WORD.findall(t)]
-    ids = range(len(texts))
-    pairs = spark.createDataFrame([(a, b) for b in ids for a in range(b)], "a long, b long")
-    found = []
-    for dense in (0, 10**6):
-        monkeypatch.setattr(near_dedup, "DENSE", dense)
-        found.append(sorted(map(tuple, near_dedup.confirmed(pairs, docs(texts)).collect())))
-    assert found[0] == found[1] and len(found[0]) > 5
+def family(n, changed, rng):
+    """Texts with so many of 200 words changed, mostly below the threshold with one another."""
+    texts = []
+    for k in range(n):
+        words = [f"w{i}" for i in range(200)]
+        for i in rng.sample(range(200), changed):
+            words[i] = f"x{k}y{i}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_families_below_the_threshold_in_blocks_and_deep_nodes(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 40)
+    monkeypatch.setattr(near_dedup, "OUTSIDERS", 30)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 64)
+    rng = random.Random(11)
+    texts = family(250, 6, rng)
+    texts += [" ".join([*t.split()[:120], "same", *t.split()[121:]]) for t in texts[::5]]
+    want = {i: c for i, (_, c) in brute_groups(list(enumerate(texts))).items()}
+    assert 100 < len(set(want.values())) < 280
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts)).collect()} == want
+
+
+def test_links_of_a_family_do_not_grow_with_its_square(spark, docs, monkeypatch):
+    counts = {}
+    for n in (150, 600):
+        asked, confirmed = [], near_dedup.staged
+        monkeypatch.setattr(near_dedup, "staged", lambda df, name, f=confirmed: (lambda out: asked.append((name, out.count())) or out)(f(df, name)))
+        near_dedup.near_groups(docs(family(n, 5, random.Random(n)))).count()
+        monkeypatch.setattr(near_dedup, "staged", confirmed)
+        counts[n] = sum(rows for name, rows in asked if name in ("near-pairs", "near-links", "near-blocks"))
+    assert counts[600] < 6 * counts[150]
+
+
+def thue_morse(n, letters):
+    """Words of n letters over two letters that polynomial hashes modulo a power of two do not tell apart."""
+    at = [k.bit_count() & 1 for k in range(n)]
+    return ["".join(letters[x ^ flip] for x in at) for flip in (0, 1)]
+
+
+@pytest.mark.parametrize("n", [32, 64, 512, 1024, 2048])
+def test_long_words_that_are_alike_do_not_collide(spark, docs, n):
+    a, b = thue_morse(n, "ai")
+    x, y = thue_morse(n, "bj")
+    lead = [f"w{k}" for k in range(12)]
+    texts = [" ".join([a, b, a, b, a]), " ".join([b, a, b, a, b]), " ".join([*lead, x]), " ".join([*lead, y])]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts)).collect()}
+    assert got == {i: c for i, (_, c) in brute_groups(list(enumerate(texts))).items()} and got[1] == 1
+    cut = substrings.deduplicated(docs(texts)).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in cut} == {(i, 0) for i in range(4)}
+
+
+def test_run_hashes():
+    from brandtide.llm.common import run_hashes
+
+    rng = random.Random(2)
+    runs = [bytes(rng.choices(b"ab\0", k=k)) for k in range(1, 90) for _ in range(30)]
+    data, sizes = np.frombuffer(b" ".join(runs), np.uint8), np.array([len(r) for r in runs])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    hashes = run_hashes(data, starts, starts + sizes, 5)
+    assert len(set(hashes.tolist())) == len(set(runs))
+    assert run_hashes(data[starts[-1] :], np.array([0]), sizes[-1:], 5)[0] == hashes[-1] != run_hashes(data[starts[-1] :], np.array([0]), sizes[-1:], 6)[0]
 
 
 def test_repeated_ids_and_empty_table(spark, docs):
@@ -170,6 +224,7 @@ def test_substrings(spark, docs, sf_dir, seed, monkeypatch):
         monkeypatch.setattr(substrings, "CHUNK", 200)  # many chunks
         monkeypatch.setattr(substrings, "GATHER", 300)
         monkeypatch.setattr(substrings, "CELLS", 1 << 9)  # and a sketch far too small
+        monkeypatch.setattr(substrings, "BUCKET", 4)  # and very many buckets
     found = substrings.op4_substrings(spark, sf_dir(documents=docs(texts).repartition(3))).collect()
     want = [(i, n, g, hashlib.sha256(k.encode()).hexdigest()) for i, n, g, k in brute_cut(list(enumerate(texts)))]
     assert sorted(map(tuple, found)) == sorted(want) and sum(g for _, _, g, _ in want) > 100
@@ -195,13 +250,20 @@ def test_gaps():
     assert substrings.positions(substrings.gaps(at, 3), 3).tolist() == at.tolist() and not len(substrings.positions(substrings.gaps(at[:0], 0), 0))
 
 
+def plain_hash(codes):
+    """The hash of a k-gram, in plain integers."""
+    mask, h = (1 << 64) - 1, sum((c + 1) * pow(winnowing.BASE | 1, j, 1 << 64) for j, c in enumerate(codes)) & (1 << 64) - 1
+    h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+    h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+    return (h ^ h >> 31) >> 24
+
+
 def brute_winnow(text, k=winnowing.K, window=winnowing.WINDOW):
-    powers = Powers(winnowing.BASE)
     if not text:
         return []
-    codes = np.array([ord(c) + 1 for c in text], np.uint64)
+    codes = [ord(c) for c in text]
     k = min(k, len(codes))
-    hashes = [int(winnowing.mix64(powers.windows(codes[i : i + k].copy(), k))[0]) >> 24 for i in range(len(codes) - k + 1)]
+    hashes = [plain_hash(codes[i : i + k]) for i in range(len(codes) - k + 1)]
     out = []
     for i in range(max(1, len(hashes) - window + 1)):
         part = hashes[i : i + window]
