@@ -131,15 +131,18 @@ def test_families_below_the_threshold_in_blocks_and_deep_nodes(spark, docs, monk
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs(texts)).collect()} == want
 
 
-def test_links_of_a_family_do_not_grow_with_its_square(spark, docs, monkeypatch):
-    counts = {}
-    for n in (150, 600):
-        asked, confirmed = [], near_dedup.staged
-        monkeypatch.setattr(near_dedup, "staged", lambda df, name, f=confirmed: (lambda out: asked.append((name, out.count())) or out)(f(df, name)))
-        near_dedup.near_groups(docs(family(n, 5, random.Random(n)))).count()
-        monkeypatch.setattr(near_dedup, "staged", confirmed)
-        counts[n] = sum(rows for name, rows in asked if name in ("near-pairs", "near-links", "near-blocks"))
-    assert counts[600] < 6 * counts[150]
+def test_a_family_below_the_threshold_is_not_sent_on_as_its_pairs(spark, docs, monkeypatch):
+    n, rows, staged = 600, {}, near_dedup.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    near_dedup.near_groups(docs(family(n, 5, random.Random(n)))).count()
+    assert rows["near-blocks"] + rows["near-links"] + rows["near-asked"] < 6 * n
+    assert rows["near-pairs"] <= rows["near-leaves"] * near_dedup.LEAF / 2  # in small leaves
 
 
 def thue_morse(n, letters):
