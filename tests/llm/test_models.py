@@ -167,13 +167,14 @@ def test_long_texts_get_the_same_result(spark, docs, monkeypatch):
 def test_probabilities_against_the_formulas(spark, docs):
     """Kneser-Ney by dictionaries, from the docstring's formulas."""
     rng = random.Random(3)
-    toxic = [f"p{k} you are vile" for k in range(14)] + [f"vile q{k} indeed" for k in range(9)]
-    plain = [f"p{k} you are kind" for k in range(14)] + [f"the kind r{k} of day" for k in range(9)]
+    any_ = "abcdefghijklmnop"
+    toxic = [f"p{x} vile scum" for x in any_] + [f"q{x} are vile {x}" for x in any_[:9]] + ["a kind folk"]
+    plain = [f"p{x} kind folk" for x in any_] + [f"the day r{x} of kind" for x in any_[:9]] + ["a vile scum"]
     texts, labels = toxic + plain, [1] * len(toxic) + [0] * len(plain)
     frame = docs(texts)
     labelled = frame.join(spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"), "doc_id")
     model = toxicity.Model(frame, labelled)
-    split = lambda t: re.findall("[a-z]+", t)  # noqa: E731 - digits part words
+    split = str.split
     seen = {1: set(), 0: set()}
     for t, c in zip(texts, labels):
         w = ["", *split(t)]
@@ -207,7 +208,7 @@ def test_probabilities_against_the_formulas(spark, docs):
         return pair.get((v, w), 0.0) / total + (1 - sum(pair[x] for x in context) / total) * low
 
     score = model.scorer()
-    for text in ["you are vile", "you are kind", "the kind p of day", "vile", "are you"] + [" ".join(rng.choices("you are vile kind the day p q".split(), k=6)) for _ in range(20)]:
+    for text in ["pz vile scum", "the vile day", "vile", "folk kind"] + [" ".join(rng.choices("pa vile scum kind folk the day of".split(), k=6)) for _ in range(20)]:
         w = ["", *split(text)]
         want = np.mean([math.log(p(1, a, b) / p(0, a, b)) for a, b in zip(w, w[1:])])
         data = np.frombuffer(text.encode(), np.uint8)
