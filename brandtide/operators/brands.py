@@ -90,6 +90,7 @@ def matched(candidates: DataFrame, masters: DataFrame, p: BrandParams = P) -> Da
     fuzzy = best.groupBy("candidate").agg(F.max("b.score").alias("score"), F.min_by("b.name", F.struct(-F.col("b.score"), F.col("b.name"))).alias("suggested"))
     fuzzy = left.select("candidate").join(fuzzy, "candidate", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     known = F.col("score") >= p.min_fuzz
+    # The statuses.
     row = lambda df, status, suggested, score: df.select("candidate", status.alias("status"), suggested.alias("suggested"), score.alias("score"))
     return reduce(
         DataFrame.unionByName,
@@ -152,6 +153,7 @@ def without_keywords(rows: DataFrame, keywords: list[str], name: str = "ListingN
 
 def validated(bucketed_: DataFrame, judge: Judge = accept_all, strict: bool = False, batch: int = 500) -> DataFrame:
     """``bucketed_`` (candidate, bucket) with the final status; the judge sees ambiguous names in batches, on executors."""
+    # The statuses here and below.
     short = "Rejected (Too Short / Generic)"
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
