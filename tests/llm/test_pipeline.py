@@ -30,3 +30,11 @@ def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
     assert set(__spark_entry__.oracle_sql()) <= set(names) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_null_ids_empty_texts_and_an_empty_table(spark, docs, sf_dir):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    frame = docs(["a b c", None, "", "d e f", "d e f"], ids=[1, 2, 3, None, None], sources=["s", None, "s", None, "s"])
+    rows = corpus_pipeline.run(spark, sf_dir(documents=frame, labels=none)).collect()
+    assert {r["doc_id"] for r in rows} == {1, None} and all(r["piece_words"] == 3 for r in rows)
+    assert corpus_pipeline.run(spark, sf_dir(documents=docs([]), labels=none)).count() == 0
