@@ -8,17 +8,17 @@ Texts are sets of 64-bit hashes of five consecutive words (A-Z lower-cased). Equ
 * At most ``LEAF`` documents: all pairs are compared by their minwise values, and those that may reach the threshold
   are confirmed on full sets, which go once to each leaf that has such pairs.
 * More, but not alike (less than ``ALIKE`` of the values agree with the node's most frequent ones): up to ``UNLIKE``
-  documents are a leaf as well, for few of their pairs come near the threshold; more branch on.
+  documents are a leaf as well, for few of their pairs come near the threshold; more branch on, two levels at once.
 * More, and alike: the document nearest to the most frequent values leads, and nodes of one leader are one family.
   Families are cut into blocks of at most about ``BLOCK`` documents, each with its leader. A block compares the leader
   with all, and whatever the leader is not linked to with all, by exact intersections of full sets as bitmaps; it
-  returns a spanning forest of the links that it finds, never all pairs.
+  returns a star for each group that it finds, never all pairs.
 * A family of several blocks then holds components. If at most ``OUTSIDERS`` documents are outside the largest, each
   is compared with the other components in all blocks; if there are more, the family's nodes branch on, and
   each of their children is judged likewise. From level ``LAST`` on nothing branches and all is compared.
 
 A pair is lost if it shares no node in which it would be compared: at the threshold with chance 6e-13 at level 1,
-3e-9, 1e-7, 2e-6 at levels 2 to 4, and 1e-3 at level ``LAST`` (``missed``), which only families get to that keep more
+1e-7 at level 3, 9e-6 at level 5 and 7e-4 at level ``LAST`` (``missed``), which only families get to that keep more
 than ``OUTSIDERS`` documents apart in nodes of so many common values. Fewer than half of a pair's values agree with
 chance 4e-8, the only other loss. Both fall with similarity.
 
@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brandtide.llm.common import Powers, mix64, small_batches, table, text_slices, with_small, words
 from brandtide.llm.graph import components
@@ -46,7 +47,7 @@ SHINGLE, COORDINATES, TREES, LEAF, UNLIKE = 5, 96, 18, 48, 8192
 BLOCK, BLOCK_BYTES, OUTSIDERS = 8192, 32 << 20, 8192
 #: Documents by which a node's most frequent values are told; share of agreeing values from which on it is alike.
 SAMPLE, ALIKE = 64, 0.5
-LAST = 12
+LAST = 11
 WORD_SEED, SHINGLE_BASE = 0x9E6C63D0876A9A35, 0xD1342543DE82EF95
 #: A pair may reach the threshold if this share of its minwise values agree.
 MAY = 0.5
@@ -107,20 +108,31 @@ def sketches(batches):
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), pa.array(sigs, pa.binary())], names=["doc_id", "n", "d1", "d2", "sig"])
 
 
-def branch(batches):
-    """Child nodes (key, rep, deep) of rows (key, rep, deep, sig)."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        keys, reps, sig = b["key"].to_numpy().view(np.uint64), b["rep"].to_numpy(), _rows(b["sig"], np.uint32)
-        draw = mix64(keys ^ np.uint64(0x51ED2701))
-        one = (draw % np.uint64(COORDINATES)).astype(np.int64)
-        two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-        rows = np.arange(len(keys))
-        second = rows[(draw >> np.uint64(40)) % np.uint64(2) == 0]
-        at, coordinate = np.concatenate([rows, second]), np.concatenate([one, two[second]])
-        child = mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate])
-        yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(reps[at]), b["deep"].take(pa.array(at))], names=["key", "rep", "deep"])
+def children(keys: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the child nodes of rows with these node keys and signatures, and the row of each."""
+    draw = mix64(keys ^ np.uint64(0x51ED2701))
+    one = (draw % np.uint64(COORDINATES)).astype(np.int64)
+    two = (one + 1 + ((draw >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+    rows = np.arange(len(keys))
+    second = rows[(draw >> np.uint64(40)) % np.uint64(2) == 0]
+    at, coordinate = np.concatenate([rows, second]), np.concatenate([one, two[second]])
+    return mix64(mix64(keys[at] + coordinate.astype(np.uint64)) ^ sig[at, coordinate]), at
+
+
+def branch(levels: int):
+    """Nodes (key, rep, deep) so many levels below those of rows (key, rep, deep, sig)."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys, sig, at = b["key"].to_numpy().view(np.uint64), _rows(b["sig"], np.uint32), np.arange(b.num_rows)
+            for _ in range(levels):
+                keys, child_of = children(keys, sig[at])
+                at = at[child_of]
+            yield pa.record_batch([pa.array(keys.view(np.int64)), b["rep"].take(pa.array(at)), b["deep"].take(pa.array(at))], names=["key", "rep", "deep"])
+
+    return run
 
 
 def _rows(column: pa.Array, kind) -> np.ndarray:
@@ -184,62 +196,78 @@ def leaf_pairs(batches):
             yield pa.record_batch([pa.array(x) for x in (keys[one], sizes[one], a, b, alike)], names=names)
 
 
-def full_sets(batches):
-    powers = Powers(SHINGLE_BASE)
-    for b in batches:
-        ids, sets = [], []
-        for some, data, offs in text_slices(b["doc_id"], b["text"]):
-            ids += some
-            sets += [s.tobytes() for s in shingle_sets(data, offs, powers)]
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
-
-
 def alike_enough(both, x, y):
     """Whether sets of x and y elements, that share so many, reach the threshold."""
     return 100 * both >= 75 * (x + y - both)
 
 
-class Forest:
+class Groups:
     """Groups of numbered things, joined as links are found."""
 
     def __init__(self, labels: np.ndarray):
-        self.labels = labels.copy()
+        self.first, self.labels = labels, labels.copy()
 
-    def join(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Joins i with the others; those of them, one of each other group, that it needed."""
-        others = others[self.labels[others] != self.labels[i]]
-        found, first = np.unique(self.labels[others], return_index=True)
+    def join(self, i: int, others: np.ndarray) -> None:
+        found = np.unique(self.labels[others])
+        found = found[found != self.labels[i]]
         if len(found):
             self.labels[np.isin(self.labels, found)] = self.labels[i]
-        return others[first]
+
+    def stars(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of the least name of each group with one of each part that it was joined from."""
+        order = np.lexsort((names, self.first, self.labels))
+        label, part = self.labels[order], self.first[order]
+        some = order[np.concatenate([[True], (label[1:] != label[:-1]) | (part[1:] != part[:-1])])]
+        order = some[np.lexsort((names[some], self.labels[some]))]
+        new = np.concatenate([[True], self.labels[order][1:] != self.labels[order][:-1]])
+        least = names[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+        return least[~new], names[order][~new]
 
 
 def confirm_leaves(batches):
-    """A forest of the pairs (with b) that reach the threshold; a leaf's sets (without b) come first, likely pairs next."""
-    at = None
+    """Links (a < b), a star for each group, by the pairs (with b) that reach the threshold; the sets of a leaf (without b) come first."""
+    at, sets, root = None, {}, {}
+
+    def top(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def stars():
+        found = [(top(x), x) for x in root if top(x) != x]
+        return pa.record_batch([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
     for batch in batches:
-        out = []
         for key, a, b, x in zip(*(batch[c].to_pylist() for c in ("key", "a", "b", "shingles"))):
             if at != key:
+                if root:
+                    yield stars()
                 at, sets, root = key, {}, {}
             if b is None:
                 sets[a], root[a] = np.frombuffer(x, np.uint64), a
                 continue
-            u, v = a, b
-            while root[u] != u:
-                u = root[u]
-            while root[v] != v:
-                v = root[v]
+            u, v = top(a), top(b)
             if u != v and alike_enough(len(np.intersect1d(sets[a], sets[b], assume_unique=True)), len(sets[a]), len(sets[b])):
                 root[max(u, v)] = min(u, v)
-                out.append((a, b))
-        yield pa.record_batch([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    if root:
+        yield stars()
+
 
+def with_sets(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """A staged table of rows with ``id``, and the full set (as bytes) of the document of that id."""
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
+    found = with_small(texts, rows, "id", "inner", rows.count())
+    kinds = [f for f in rows.schema.fields]
+
+    def run(batches):
+        powers = Powers(SHINGLE_BASE)
+        for b in batches:
+            sets = [s.tobytes() for _, data, offs in text_slices(b["id"], b["text"]) for s in shingle_sets(data, offs, powers)]
+            yield pa.record_batch([*[b[f] for f in names], pa.array(sets, pa.binary())], names=[*names, "shingles"])
 
-def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """id and full set (as bytes) of the documents of a staged table of distinct ids."""
-    chosen = with_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi", ids.count())
-    return chosen.mapInArrow(full_sets, "id long, shingles binary")
+    names = [f.name for f in kinds]
+    return found.select(*names, "text").mapInArrow(run, T.StructType([*kinds, T.StructField("shingles", T.BinaryType())]))
 
 
 def leaf_links(leaves: DataFrame, whole: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -252,8 +280,7 @@ def leaf_links(leaves: DataFrame, whole: DataFrame, reps: DataFrame, docs: DataF
     pairs = found.groupBy("a", "b").agg(F.max(F.struct("size", "key")).alias("x"), F.first("alike").alias("alike"))
     pairs = staged(pairs.select("x.key", "a", "b", "alike"), "near-pairs")
     held = staged(pairs.select("key", F.col("a").alias("id")).union(pairs.select("key", "b")).distinct(), "near-asked")
-    sets = sets_of(staged(held.select("id").distinct(), "near-ids"), docs)
-    rows = held.join(sets, "id").select("key", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(COORDINATES + 1).alias("alike"), "shingles")
+    rows = with_sets(held, docs).select("key", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(COORDINATES + 1).alias("alike"), "shingles")
     rows = rows.unionByName(pairs, allowMissingColumns=True).repartition("key").sortWithinPartitions("key", F.desc("alike"))
     return staged(rows.mapInArrow(confirm_leaves, "a long, b long"), "near-links")
 
@@ -302,7 +329,7 @@ def shared(sets: list[np.ndarray], asked: np.ndarray):
 
 
 def block_links(batches):
-    """Links (a, b), a forest, of blocks of rows (place, kind, rep, part, shingles), sorted by place and kind.
+    """Links (a < b), a star for each group that is found, of blocks of rows (place, kind, rep, part, shingles), sorted by place and kind.
 
     Kind 0 is a family's leader: linked with all, and what is not linked with it is compared with all. Without a leader
     rows of kind 1 are compared with those of kind 2 that are of another part (component).
@@ -314,24 +341,19 @@ def block_links(batches):
         rows = sorted(rows.values(), key=lambda r: r[0])
         kind, reps = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
         sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-        sizes, forest, found = np.array([len(s) for s in sets]), Forest(np.array([r[2] for r in rows])), []
+        sizes, groups = np.array([len(s) for s in sets]), Groups(np.array([r[2] for r in rows]))
         if kind[0] == 0:
             owner = np.repeat(np.arange(len(sets)), sizes)
             both = np.bincount(owner[np.isin(np.concatenate(sets), sets[0])], minlength=len(sets))
-            others = np.flatnonzero(alike_enough(both, sizes[0], sizes) & (np.arange(len(sets)) > 0))
-            found.append((np.zeros(len(others), np.int64), forest.join(0, others)))
-            asked = np.flatnonzero(forest.labels != forest.labels[0])
+            groups.join(0, np.flatnonzero(alike_enough(both, sizes[0], sizes)))
+            asked = np.flatnonzero(groups.labels != groups.labels[0])
         else:
             asked = np.flatnonzero(kind == 1)
         if len(asked):
             for i, both in shared(sets, asked):
-                ok = alike_enough(both, sizes[i], sizes)
-                ok[i] = False
-                need = forest.join(i, np.flatnonzero(ok))
-                found.append((np.full(len(need), i), need))
-        a, b = (np.concatenate(x) for x in zip(*found))
-        a, b = reps[a.astype(np.int64)], reps[b.astype(np.int64)]
-        return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                groups.join(i, np.flatnonzero(alike_enough(both, sizes[i], sizes)))
+        a, b = groups.stars(reps)
+        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     at = None
     for batch in batches:
@@ -346,9 +368,8 @@ def block_links(batches):
 
 
 def in_blocks(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Staged links within blocks; ``rows`` is a staged table of place, kind, rep, part."""
-    sets = sets_of(staged(rows.select(F.col("rep").alias("id")).distinct(), "near-ids"), docs)
-    placed = rows.join(sets.withColumnRenamed("id", "rep"), "rep").select("place", "kind", "rep", "part", "shingles")
+    """Staged links within blocks; ``rows`` is a staged table of place, kind, id, part."""
+    placed = with_sets(rows, docs).select("place", "kind", F.col("id").alias("rep"), "part", "shingles")
     return staged(placed.repartition("place").sortWithinPartitions("place", "kind", "rep").mapInArrow(block_links, "a long, b long"), "near-links")
 
 
@@ -376,7 +397,7 @@ def family_links(members: DataFrame, families: DataFrame, docs: DataFrame) -> Da
     """Staged links with the leaders (families are called by them) and within blocks."""
     held = members.join(families, "family").select(_place(_own_block()), F.lit(1).alias("kind"), "rep")
     heads = families.select("family", _every_block()).select(_place(F.col("block")), F.lit(0).alias("kind"), F.col("family").alias("rep"))
-    return in_blocks(staged(held.unionByName(heads).withColumn("part", F.col("rep")), "near-blocks"), docs)
+    return in_blocks(staged(held.unionByName(heads).select("place", "kind", F.col("rep").alias("id"), F.col("rep").alias("part")), "near-blocks"), docs)
 
 
 def outsider_links(members: DataFrame, families: DataFrame, parts: DataFrame, last: bool, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -391,7 +412,7 @@ def outsider_links(members: DataFrame, families: DataFrame, parts: DataFrame, la
     own = own.join(kinds.where("not many").select("family", "main"), "family")
     held = own.select(_place(_own_block()), F.lit(2).alias("kind"), "rep", "part")
     asked = own.where("part <> main").select("family", _every_block(), "rep", "part").select(_place(F.col("block")), F.lit(1).alias("kind"), "rep", "part")
-    return in_blocks(staged(held.unionByName(asked), "near-blocks"), docs), kinds.where("many").select("family")
+    return in_blocks(staged(held.unionByName(asked).withColumnRenamed("rep", "id"), "near-blocks"), docs), kinds.where("many").select("family")
 
 
 def chosen_path(reps: DataFrame, docs: DataFrame) -> list[DataFrame]:
@@ -399,9 +420,11 @@ def chosen_path(reps: DataFrame, docs: DataFrame) -> list[DataFrame]:
     roots = F.explode(F.array(*[F.lit(int(x)) for x in mix64(np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)]))
     rows, leaves, links, done = reps.select(roots.alias("key"), "rep", F.lit(False).alias("deep"), "sig"), [], [], None
     whole = reps.where("false").select(F.col("rep").alias("family"), "rep")
-    deep = False
-    for level in range(1, LAST + 1):
-        nodes = staged(rows.mapInArrow(branch, "key long, rep long, deep boolean"), "near-nodes")
+    level, deep = -1, False
+    while level < LAST:
+        step = 2 - (level < 0)  # below the first level large nodes take two steps at once
+        level = max(0, level) + step
+        nodes = staged(rows.mapInArrow(branch(step), "key long, rep long, deep boolean"), "near-nodes")
         sizes = staged(nodes.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "near-sizes")
         n_large = sizes.where(F.col("size") > LEAF).count()
         leaves.append(staged(nodes.join(sizes.where(F.col("size") <= LEAF), "key").select("key", "rep", "size"), "near-leaves"))
@@ -413,7 +436,7 @@ def chosen_path(reps: DataFrame, docs: DataFrame) -> list[DataFrame]:
         led = leaders(large.where("not deep"))
         n_led = led.count()
         unlike = with_small(large, led, "key", "left_anti", n_led).where("not deep")
-        few = F.lit(level == LAST) | (F.col("size") <= UNLIKE)
+        few = F.lit(level >= LAST) | (F.col("size") <= UNLIKE)
         leaves.append(unlike.where(few).select("key", "rep", "size"))
         again, parted, called = [unlike.where(~few).select("key", "rep", "deep")], [], []
         n_again = with_small(sizes.where(~few & (F.col("size") > LEAF)), led, "key", "left_anti", n_led).count()
@@ -435,7 +458,7 @@ def chosen_path(reps: DataFrame, docs: DataFrame) -> list[DataFrame]:
         deep = False
         if parted:
             parts = staged(components(every(links)), "near-parts")
-            found, many = outsider_links(every([x for x, _ in parted]), every([x for _, x in parted]), parts, level == LAST, docs)
+            found, many = outsider_links(every([x for x, _ in parted]), every([x for _, x in parted]), parts, level >= LAST, docs)
             links.append(found)
             deep = not many.isEmpty()
             if deep:
